@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The modelled workload reads its files once in batch; it has no stream
+source, watermark, windowed stream aggregate or state.  Its sequence
+features also could not run on a stream as written: Spark refuses lag / lead
+and exact distinct counts on streaming DataFrames.  This package stays empty
+on purpose; see README ("Not built").
+"""
