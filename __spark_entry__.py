@@ -25,7 +25,7 @@ import oracle  # noqa: E402
 from clickweave.functions.dates import micros_to_seconds  # noqa: E402
 from clickweave.operators.folds import fold_sizes, fold_table, kfold_assign, timeseries_split_sizes  # noqa: E402
 from clickweave.operators.metrics import auc_by_group, mean_metric  # noqa: E402
-from clickweave.operators.outoffold import SLOT, fold_values, oof_encode, oof_encode_batch  # noqa: E402
+from clickweave.operators.outoffold import SLOT, fold_values, oof_encode, oof_encode_long  # noqa: E402
 from clickweave.plans import features as fp  # noqa: E402
 from clickweave.plans.encoders import encode_features  # noqa: E402
 from clickweave.plans.matrix import feature_names, model_matrix  # noqa: E402
@@ -268,7 +268,8 @@ def q_enc_batch(spark, sf_dir):
     modes = wb.log_tables().user.select("user_id", "item_id", "product_type")
     base = cut_lineage(wb.imps().join(modes, "user_id", "left"))
     keys = [["app_code"], ["user_id", "app_code"], ["user_id", "item_id", "product_type"]]
-    out = oof_encode_batch(base, keys, "is_click", "impression_date", "train_set", wb.folds(), len(bindings.A_FOLDS))
+    out = oof_encode_long(base, keys, "is_click", "impression_date", "train_set", wb.folds(), len(bindings.A_FOLDS),
+                          "impression_id")
     cols = ["_".join(k) + s for k in keys for s in ("_enc", "_countenc", "_sumenc")]
     return out.select("impression_id", *[_fr(c).alias(c) for c in cols])
 

@@ -237,3 +237,118 @@ def fold_values(
            .join(F.broadcast(fallbacks.select(SLOT, f"fb_{kind}")), SLOT, "left"))
     value = F.coalesce(F.col(f"v_{kind}"), full, F.col(f"fb_{kind}"))
     return out.withColumn("score", value).drop(f"v_{kind}", "__S", "__N", f"fb_{kind}")
+
+
+def _key_text(df: DataFrame, keys: Sequence[str]) -> Column:
+    """Injective text form of a key tuple: each part length-prefixed; -0.0 is
+    folded into 0.0 (they are equal keys); NULL when any part is NULL."""
+    types = dict(df.dtypes)
+    parts = []
+    for k in keys:
+        c = F.col(k)
+        if types[k] in ("double", "float"):
+            c = c + F.lit(0.0)
+        s = c.cast("string")
+        parts += [F.length(s).cast("string"), F.lit(":"), s]
+    return F.when(_all_not_null(keys), F.concat(*parts))
+
+
+def oof_encode_long(
+    df: DataFrame,
+    key_sets: Sequence[Sequence[str]],
+    label: str,
+    fold: str,
+    train_flag: str,
+    folds: DataFrame,
+    n_folds: int,
+    id_col: str,
+    kinds: Sequence[str] = KINDS,
+) -> DataFrame:
+    """All encodings of many key sets in one plan (V7).
+
+    Every row is expanded to one narrow record per key set
+    ``(id, set, key text, slot)``; one grouped aggregate per
+    ``(set, key, fold)`` feeds every set; one join looks the values up; one
+    grouped pivot per id brings the 3 x J columns back, joined to ``df`` by
+    id.  The number of shuffles does not grow with the number of key sets,
+    and the wide feature row is shuffled once.  ``id_col`` must be unique.
+    """
+    key_sets = [list(k) for k in key_sets]
+    staged = with_slots(df.select(id_col, fold, train_flag, label, *{k for ks in key_sets for k in ks}),
+                        fold, train_flag, folds)
+    entries = F.array(*[F.struct(F.lit(j).alias("j"), _key_text(staged, ks).alias("k"))
+                        for j, ks in enumerate(key_sets)])
+    long = staged.select(id_col, fold, train_flag, label, SLOT, F.explode(entries).alias("e")).select(
+        id_col, fold, train_flag, label, SLOT, F.col("e.j").alias("j"), F.col("e.k").alias("k"))
+
+    train = long.filter(F.col(train_flag) == 1)
+    y = F.col(label).cast("bigint")
+    key_ok = F.col("k").isNotNull()
+    kd = train.filter(key_ok).groupBy("j", "k", fold).agg(F.sum(y).alias("s_kd"), F.count(y).alias("n_kd"))
+    ktot = kd.groupBy("j", "k").agg(
+        F.sum("s_kd").alias("S_k"), F.sum("n_kd").alias("N_k"),
+        F.count(F.lit(1)).alias("nf"), F.min(fold).alias("__f1"))
+
+    # fallbacks per (set, listed fold) and the test slot: tiny tables
+    per_key = ktot.groupBy("j", F.col("__f1").alias(fold)).agg(
+        F.count(F.lit(1)).alias("g_first"), F.count_if(F.col("nf") == 1).alias("o_d"))
+    per_fold = train.groupBy("j", fold).agg(
+        F.sum(y).alias("s_d"), F.count(y).alias("n_d"),
+        F.sum(F.when(key_ok, y)).alias("s1_d"), F.count(F.when(key_ok, y)).alias("n1_d"))
+    cols = ["s_d", "n_d", "s1_d", "n1_d", "g_first", "o_d"]
+    fall = per_fold.join(per_key, ["j", fold], "full").select(
+        "j", fold, *[F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in cols])
+    per_set = Window.partitionBy("j")
+    totals = {"S": "s_d", "N": "n_d", "S1": "s1_d", "N1": "n1_d", "G": "g_first"}
+    fall = fall.select("j", fold, *cols[:4], "o_d", *[F.sum(c).over(per_set).alias(t) for t, c in totals.items()])
+    grid = folds.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(len(key_sets) - 1))))
+    listed = grid.join(fall, ["j", fold], "left")
+    listed = listed.select(
+        "j", "fold_idx",
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ["s_d", "n_d", "s1_d", "n1_d", "o_d"]],
+        *[F.max(t).over(per_set).alias(t) for t in totals])
+    dbl = lambda c: F.col(c).cast("double")
+    fb_fold = listed.select(
+        "j", F.col("fold_idx").alias(SLOT),
+        F.try_divide(dbl("S") - dbl("s_d"), dbl("N") - dbl("n_d")).alias("fb_mean"),
+        F.try_divide(dbl("N1") - dbl("n1_d"), dbl("G") - dbl("o_d")).alias("fb_count"),
+        F.try_divide(dbl("S1") - dbl("s1_d"), dbl("G") - dbl("o_d")).alias("fb_sum"))
+    fb_test = fb_fold.groupBy("j").agg(
+        *[(_sum_or_null(f"fb_{k}") / F.lit(float(n_folds))).alias(f"fb_{k}") for k in KINDS]
+    ).select("j", F.lit(TEST_SLOT).alias(SLOT), *[f"fb_{k}" for k in KINDS])
+    fallbacks = fb_fold.unionByName(fb_test)
+
+    # values per (set, key, slot)
+    kv = (kd.join(F.broadcast(folds.select(fold, F.col("fold_idx").alias(SLOT))), fold)
+          .join(ktot.select("j", "k", "S_k", "N_k"), ["j", "k"])
+          .join(F.broadcast(fb_fold), ["j", SLOT]))
+    rest_n, rest_s = F.col("N_k") - F.col("n_kd"), F.col("S_k") - F.col("s_kd")
+    has = rest_n > 0
+    kv = kv.select(
+        "j", "k", SLOT,
+        F.when(has, rest_s.cast("double") / rest_n.cast("double")).otherwise(F.col("fb_mean")).alias("v_mean"),
+        F.when(has, rest_n.cast("double")).otherwise(F.col("fb_count")).alias("v_count"),
+        F.when(has, rest_s.cast("double")).otherwise(F.col("fb_sum")).alias("v_sum"))
+    per_key_sum = kv.groupBy("j", "k").agg(
+        F.count(F.lit(1)).alias("__nl"), *[_sum_or_null(f"v_{k}").alias(f"__s_{k}") for k in KINDS])
+    full = {"mean": dbl("S_k") / dbl("N_k"), "count": dbl("N_k"), "sum": dbl("S_k")}
+    d = float(n_folds)
+    missing = F.lit(d) - F.coalesce(F.col("__nl"), F.lit(0)).cast("double")
+    test_vals = ktot.join(per_key_sum, ["j", "k"], "left").select(
+        "j", "k", F.lit(TEST_SLOT).alias(SLOT),
+        *[((F.when(F.col("__nl").isNull(), F.lit(0.0)).otherwise(F.col(f"__s_{k}")) + missing * full[k]) / F.lit(d))
+          .alias(f"v_{k}") for k in KINDS])
+    table = kv.unionByName(test_vals)
+
+    looked = (long.select(id_col, SLOT, "j", "k")
+              .join(table, ["j", "k", SLOT], "left")
+              .join(F.broadcast(fallbacks), ["j", SLOT], "left"))
+    looked = looked.select(id_col, "j", *[
+        F.when(F.col(SLOT).isNull(), F.lit(0.0)).otherwise(F.coalesce(F.col(f"v_{k}"), F.col(f"fb_{k}"))).alias(k)
+        for k in kinds])
+    aggs = []
+    for k in kinds:
+        for j, ks in enumerate(key_sets):
+            aggs.append(F.max(F.when(F.col("j") == j, F.col(k))).alias("_".join(ks) + SUFFIX[k]))
+    wide = looked.groupBy(id_col).agg(*aggs)
+    return df.join(wide, id_col, "left")

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from clickweave.operators.folds import fold_table
-from clickweave.operators.outoffold import oof_encode_batch
+from clickweave.operators.outoffold import oof_encode_long
 
 # The 31 encoded key sets, in the reference's order.  The
 # item / category / product / server_timeDay keys are the per-user log modes.
@@ -32,6 +32,7 @@ def encode_features(
     key_sets: Sequence[Sequence[str]] = ENCODE_KEYS,
     label: str = "is_click",
     train_flag: str = "train_set",
+    id_col: str = "impression_id",
 ) -> DataFrame:
     """Add the mean / count / sum encodings of every key set (3 per key set).
 
@@ -39,4 +40,4 @@ def encode_features(
     set groups it again and joins the result back.
     """
     ft = fold_table(spark, folds, fold_type, fold_col)
-    return oof_encode_batch(features, key_sets, label, fold_col, train_flag, ft, len(folds))
+    return oof_encode_long(features, key_sets, label, fold_col, train_flag, ft, len(folds), id_col)

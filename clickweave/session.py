@@ -22,6 +22,10 @@ ENGINE_DEFAULTS = {
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # feature rows are wide (~400 columns): keep whole-stage codegen for them
+    "spark.sql.codegen.maxFields": "2000",
+    # small shuffles of heavy rows: do not coalesce below 64 KB per task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
 }
 
 
