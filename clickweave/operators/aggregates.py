@@ -87,3 +87,35 @@ def mode_table(df: DataFrame, group: Sequence[str], value: str, name: str | None
     )
     best = counts.groupBy(*group).agg(F.min(F.struct((-F.col("__n")).alias("n"), F.col(value).alias("v"))).alias("__m"))
     return best.select(*group, F.col("__m.v").alias(name))
+
+
+def modes_table(df: DataFrame, group: Sequence[str], columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """Modes of several columns at once: ``columns`` = [(source, output)].
+
+    Each row is expanded to one record per column holding the value in a
+    numeric or a text slot; one grouped count per (group, column, value),
+    then one grouped minimum of (-count, value) per group and column, pivoted
+    back and cast to the source types.  Same rule as ``mode_table``: most
+    frequent non-NULL value, smallest on ties; NULL when a column has no
+    value in the group.
+    """
+    group = list(group)
+    types = dict(df.dtypes)
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    entries = []
+    for i, (src, _) in enumerate(columns):
+        is_num = types[src] in numeric
+        num = F.col(src).cast("double") if is_num else F.lit(None).cast("double")
+        txt = F.lit(None).cast("string") if is_num else F.col(src).cast("string")
+        entries.append(F.when(F.col(src).isNotNull(), F.struct(F.lit(i).alias("i"), num.alias("x"), txt.alias("t"))))
+    long = df.select(*group, F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
+    long = long.select(*group, "e.i", "e.x", "e.t")
+    counts = long.groupBy(*group, "i", "x", "t").agg(F.count(F.lit(1)).alias("__n"))
+    best = counts.groupBy(*group).agg(*[
+        F.min(F.when(F.col("i") == i, F.struct((-F.col("__n")).alias("n"), "x", "t"))).alias(f"__m{i}")
+        for i in range(len(columns))])
+    out = []
+    for i, (src, name) in enumerate(columns):
+        slot = "x" if types[src] in numeric else "t"
+        out.append(F.col(f"__m{i}.{slot}").cast(types[src]).alias(name))
+    return best.select(*group, *out)

@@ -32,7 +32,7 @@ from clickweave.operators.aggregates import (
     count_distinct,
     count_rows,
     join_back,
-    mode_table,
+    modes_table,
     stat_columns,
 )
 from clickweave.operators.dictionary import encode_first_seen
@@ -146,7 +146,10 @@ def log_gap_columns(log: DataFrame, cfg: FeatureConfig, bucket: Column | None) -
 def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
     """All grouped view-log features (A2, A3, A5, A7, log count).
 
-    ``log`` is ``prepare_log(join_items(...))``.
+    ``log`` is ``prepare_log(join_items(...))``.  The lagged log is persisted
+    while its three aggregates run (per user; per (user, date / weekday /
+    hour) in one expanded aggregate; all modes in one long-format pass), then
+    each table is lineage-cut and the cache released.
     """
     split = split_hot(log, [U], cfg.hot_rows)
     if split.n_hot:
@@ -155,51 +158,61 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
         gapped = log_gap_columns(flagged, cfg, bucket).drop("__hot")
     else:
         gapped = log_gap_columns(log, cfg, None)
-
-    per_user = gapped.groupBy(U).agg(
-        *[c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", f"user_time_diff{k}_log")],
-        *[c for k in range(1, cfg.price_lags + 1)
-          for c in stat_columns(f"user_price_diff{k}", f"user_price_diff{k}_log", seconds=False)],
-        count_distinct("device_type", "device_uniq", bounded=True),
-        count_distinct("session_id", "sess_uniq"),
-        count_distinct("item_id", "item_uniq"),
-        count_distinct("server_time_date", "ser_dat_user_uniq"),
-        count_distinct("server_timeWeek", "ser_wk_user_uniq", bounded=True),
-        count_distinct("server_timeDayofweek", "ser_daywk_user_uniq", bounded=True),
-        count_distinct("server_timeHour", "ser_hr_user_uniq", bounded=True),
-        count_rows("user_id_cnt"),
-    )
-    modes = [(c, c) for c in cfg.item_columns] + [
-        ("server_timeDay", "server_timeDay"),
-        ("server_timeDayofweek", "server_timeDayofweek_mode"),
-        ("server_timeHour", "server_timeHour"),
-    ]
-    for src, name in modes:
-        per_user = per_user.join(mode_table(log, [U], src, name), U, "left")
-
-    def keyed(key: str, prefix: str) -> DataFrame:
-        return gapped.groupBy(U, key).agg(
-            *[c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", prefix.format(k=k))],
+    diffs = [f"__log_d{k}" for k in range(1, cfg.time_lags + 1)]
+    prices = [f"user_price_diff{k}" for k in range(1, cfg.price_lags + 1)]
+    keep = [U, "device_type", "session_id", "item_id", "server_time_date", "server_timeWeek",
+            "server_timeDayofweek", "server_timeHour", "server_timeDay", *cfg.item_columns, *diffs, *prices]
+    gapped = gapped.select(*dict.fromkeys(keep)).persist()
+    try:
+        per_user = gapped.groupBy(U).agg(
+            *[c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", f"user_time_diff{k}_log")],
+            *[c for k in range(1, cfg.price_lags + 1)
+              for c in stat_columns(f"user_price_diff{k}", f"user_price_diff{k}_log", seconds=False)],
+            count_distinct("device_type", "device_uniq", bounded=True),
+            count_distinct("session_id", "sess_uniq"),
+            count_distinct("item_id", "item_uniq"),
+            count_distinct("server_time_date", "ser_dat_user_uniq"),
+            count_distinct("server_timeWeek", "ser_wk_user_uniq", bounded=True),
+            count_distinct("server_timeDayofweek", "ser_daywk_user_uniq", bounded=True),
+            count_distinct("server_timeHour", "ser_hr_user_uniq", bounded=True),
+            count_rows("user_id_cnt"),
         )
-
-    user_date = keyed("server_time_date", "user_date_time_diff{k}_log").join(
-        log.groupBy(U, "server_time_date").agg(
-            count_distinct("session_id", "user_date_sess_uniq"), count_distinct("item_id", "user_date_item_uniq")
-        ),
-        [U, "server_time_date"],
-        "left",
-    )
-    user_dow = keyed("server_timeDayofweek", "user_daywk_diff{k}_log").join(
-        log.groupBy(U, "server_timeDayofweek").agg(
-            count_distinct("session_id", "user_daywk_sess_uniq"), count_distinct("item_id", "user_daywk_item_uniq")
-        ),
-        [U, "server_timeDayofweek"],
-        "left",
-    )
-    user_hour = log.groupBy(U, "server_timeHour").agg(
-        count_distinct("session_id", "user_hr_sess_uniq"), count_distinct("item_id", "user_hr_item_uniq")
-    )
-    return LogTables(*(cut_lineage(t) for t in (per_user, user_date, user_dow, user_hour)))
+        modes = [(c, c) for c in cfg.item_columns] + [
+            ("server_timeDay", "server_timeDay"),
+            ("server_timeDayofweek", "server_timeDayofweek_mode"),
+            ("server_timeHour", "server_timeHour"),
+        ]
+        per_user = cut_lineage(per_user.join(modes_table(gapped, [U], modes), U, "left"))
+
+        # (user, date), (user, weekday), (user, hour): one expanded aggregate
+        views = F.array(
+            F.struct(F.lit(0).alias("v"), F.col("server_time_date").cast("string").alias("key")),
+            F.struct(F.lit(1).alias("v"), F.col("server_timeDayofweek").cast("string").alias("key")),
+            F.struct(F.lit(2).alias("v"), F.col("server_timeHour").cast("string").alias("key")),
+        )
+        keyed = gapped.select(U, "session_id", "item_id", *diffs, F.explode(views).alias("e")).select(
+            U, "session_id", "item_id", *diffs, "e.v", "e.key")
+        stats = [c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", f"__s{k}")]
+        both = keyed.groupBy(U, "v", "key").agg(
+            *stats, count_distinct("session_id", "__sess"), count_distinct("item_id", "__item"))
+        both = cut_lineage(both)
+    finally:
+        gapped.unpersist()
+
+    def view(v: int, key: str, key_type: str, prefix: str | None, sess: str, item: str) -> DataFrame:
+        cols = [F.col("key").cast(key_type).alias(key)]
+        if prefix:
+            for k in range(1, cfg.time_lags + 1):
+                cols += [F.col(f"__s{k}_{st}").alias(f"{prefix.format(k=k)}_{st}") for st in ("min", "max", "mean", "std")]
+        cols += [F.col("__sess").alias(sess), F.col("__item").alias(item)]
+        return both.filter(F.col("v") == v).select(U, *cols)
+
+    user_date = view(0, "server_time_date", "date", "user_date_time_diff{k}_log", "user_date_sess_uniq",
+                     "user_date_item_uniq")
+    user_dow = view(1, "server_timeDayofweek", "int", "user_daywk_diff{k}_log", "user_daywk_sess_uniq",
+                    "user_daywk_item_uniq")
+    user_hour = view(2, "server_timeHour", "int", None, "user_hr_sess_uniq", "user_hr_item_uniq")
+    return LogTables(per_user, user_date, user_dow, user_hour)
 
 
 # --------------------------------------------------------------------------
@@ -343,9 +356,17 @@ def _join_log(df: DataFrame, log: LogTables, small: bool) -> DataFrame:
     return df
 
 
-def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool, cfg: FeatureConfig) -> DataFrame:
-    counted = _impression_counts(df)
-    lagged = _impression_lags(counted, bucket, cfg)
+def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool, cfg: FeatureConfig,
+                held: list[DataFrame]) -> DataFrame:
+    """Features of one path.  ``df`` is read by every count branch and the
+    lagged frame by every statistics branch, so both are persisted (the
+    cached data keeps its hash partitioning by user; ``held`` collects them
+    for release after the result is lineage-cut)."""
+    base = df.persist()
+    held.append(base)
+    counted = _impression_counts(base)
+    lagged = _impression_lags(counted, bucket, cfg).persist()
+    held.append(lagged)
     summed = _impression_aggregates(lagged, small_user_tables=hot)
     placed = _impression_positions(summed, bucket)
     joined = _join_log(placed, log, small=hot)
@@ -394,14 +415,18 @@ def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = Fe
     imps = cut_lineage(imps)
     per_app, per_os = _global_tables(imps)
     split = split_hot(imps, [U], cfg.hot_rows)
+    held: list[DataFrame] = []
     normal = split.normal.repartition(U)
-    parts = [_user_block(normal, log, None, False, cfg)]
+    parts = [_user_block(normal, log, None, False, cfg, held)]
     if split.n_hot:
         bucket = (F.lit(1) - F.col(TRAIN)) * F.lit(1 << 40) + F.floor(F.col(US) / F.lit(cfg.hot_bucket_us))
-        parts.append(_user_block(split.hot, log, bucket, True, cfg))
+        parts.append(_user_block(split.hot, log, bucket, True, cfg, held))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     out = out.join(per_app, APP, "left").join(per_os, OS, "left")
-    return cut_lineage(_finish_row(out).drop(US))
+    result = cut_lineage(_finish_row(out).drop(US))
+    for frame in held:
+        frame.unpersist()
+    return result
 
 
 def build_features(
