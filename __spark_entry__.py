@@ -42,23 +42,32 @@ def _fr(c: str | Column, digits: int = 6) -> Column:
     return F.round(col * F.lit(1 + 1e-12), digits)
 
 
+BINDINGS = {
+    "a": {"imps": "a_impressions", "log": "a_view_log", "items": "a_item_data", "log_order": bindings.A_LOG_ORDER,
+          "folds": bindings.A_FOLDS, "fold": "impression_date", "fold_type": "date"},
+    "b": {"imps": "b_impressions", "log": "b_view_log", "items": "b_item_data", "log_order": bindings.B_LOG_ORDER,
+          "folds": bindings.B_FOLDS, "fold": "fold", "fold_type": "int"},
+}
+
+
 class Workbench:
-    """Stages of one binding-A build, memoized per session and folder."""
+    """Stages of one binding's build, memoized per session and folder."""
 
     _cache: dict[tuple, "Workbench"] = {}
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, binding: str = "a"):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
-        self.views = bindings.register(spark, sf_dir)
-        self.cfg = fp.FeatureConfig(log_order=bindings.A_LOG_ORDER)
+        self.b = BINDINGS[binding]
+        self.views = bindings.register(spark, sf_dir, binding)
+        self.cfg = fp.FeatureConfig(log_order=self.b["log_order"])
         self._memo: dict[str, DataFrame] = {}
 
     @classmethod
-    def get(cls, spark: SparkSession, sf_dir: str) -> "Workbench":
-        key = (spark.sparkContext.applicationId, sf_dir)
+    def get(cls, spark: SparkSession, sf_dir: str, binding: str = "a") -> "Workbench":
+        key = (spark.sparkContext.applicationId, sf_dir, binding)
         if key not in cls._cache:
-            cls._cache[key] = Workbench(spark, sf_dir)
+            cls._cache[key] = Workbench(spark, sf_dir, binding)
         return cls._cache[key]
 
     def _once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -68,7 +77,7 @@ class Workbench:
 
     def log(self) -> DataFrame:
         return self._once("log", lambda: fp.prepare_log(
-            fp.join_items(self.views["a_view_log"], self.views["a_item_data"]), self.cfg))
+            fp.join_items(self.views[self.b["log"]], self.views[self.b["items"]]), self.cfg))
 
     def log_tables(self) -> fp.LogTables:
         if "log_tables" not in self._memo:
@@ -76,31 +85,31 @@ class Workbench:
         return self._memo["log_tables"]
 
     def imps(self) -> DataFrame:
-        return self._once("imps", lambda: cut_lineage(fp.prepare_impressions(self.views["a_impressions"])))
+        return self._once("imps", lambda: cut_lineage(fp.prepare_impressions(self.views[self.b["imps"]])))
 
     def features(self) -> DataFrame:
         return self._once("features", lambda: fp.impression_features(self.imps(), self.log_tables(), self.cfg))
 
     def folds(self) -> DataFrame:
-        return fold_table(self.spark, bindings.A_FOLDS, "date", "impression_date")
+        return fold_table(self.spark, self.b["folds"], self.b["fold_type"], self.b["fold"])
 
     def enc_user_app(self) -> DataFrame:
         return self._once("enc_user_app", lambda: cut_lineage(oof_encode(
-            self.imps(), ["user_id", "app_code"], "is_click", "impression_date", "train_set", self.folds(),
-            len(bindings.A_FOLDS)).drop("__cw_slot")))
+            self.imps(), ["user_id", "app_code"], "is_click", self.b["fold"], "train_set", self.folds(),
+            len(self.b["folds"])).drop("__cw_slot")))
 
     def encoded(self) -> DataFrame:
         return self._once("encoded", lambda: cut_lineage(encode_features(
-            self.spark, self.features(), bindings.A_FOLDS)))
+            self.spark, self.features(), self.b["folds"], self.b["fold"], self.b["fold_type"])))
 
 
-def _wb(spark: SparkSession, sf_dir: str) -> Workbench:
-    return Workbench.get(spark, sf_dir)
+def _wb(spark: SparkSession, sf_dir: str, binding: str = "a") -> Workbench:
+    return Workbench.get(spark, sf_dir, binding)
 
 
-def _feat(names: list[str], round_cols: tuple[str, ...] = ()) -> Callable[[SparkSession, str], DataFrame]:
+def _feat(names: list[str], round_cols: tuple[str, ...] = (), binding: str = "a") -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        f = _wb(spark, sf_dir).features()
+        f = _wb(spark, sf_dir, binding).features()
         return f.select("impression_id", *[_fr(n).alias(n) if n in round_cols else F.col(n) for n in names])
     return run
 
@@ -157,15 +166,15 @@ def q_log_price_lags(spark, sf_dir):
     return g.select("row_id", *[f"user_price_diff{k}" for k in range(1, 5)])
 
 
-def q_log_gap_stats_user(spark, sf_dir):
+def q_log_gap_stats_user(spark, sf_dir, binding="a"):
     names = [n for k in range(1, 6) for n in _sec_stat_names(f"user_time_diff{k}_log")]
-    u = _wb(spark, sf_dir).log_tables().user
+    u = _wb(spark, sf_dir, binding).log_tables().user
     return u.select("user_id", *[_fr(n).alias(n) if n.endswith("_std") else F.col(n) for n in names])
 
 
-def q_log_price_gap_stats_user(spark, sf_dir):
+def q_log_price_gap_stats_user(spark, sf_dir, binding="a"):
     names = [n for k in range(1, 5) for n in _sec_stat_names(f"user_price_diff{k}_log")]
-    u = _wb(spark, sf_dir).log_tables().user
+    u = _wb(spark, sf_dir, binding).log_tables().user
     rounded = lambda n: n.endswith("_std") or n.endswith("_mean")
     return u.select("user_id", *[_fr(n).alias(n) if rounded(n) else F.col(n) for n in names])
 
@@ -176,9 +185,14 @@ def q_log_nunique_user(spark, sf_dir):
     return _wb(spark, sf_dir).log_tables().user.select("user_id", *names)
 
 
-def q_log_mode_user(spark, sf_dir):
+def q_log_mode_user(spark, sf_dir, binding="a"):
     names = [n for _, n in oracle.MODE_COLS]
-    return _wb(spark, sf_dir).log_tables().user.select("user_id", *names)
+    return _wb(spark, sf_dir, binding).log_tables().user.select("user_id", *names)
+
+
+def q_b_enc_user_app(spark, sf_dir):
+    e = _wb(spark, sf_dir, "b").enc_user_app()
+    return e.select("impression_id", *[_fr(n).alias(n) for n in ENC_NAMES.values()])
 
 
 def q_log_item_join(spark, sf_dir):
@@ -396,6 +410,15 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auc_exact": q_auc_exact,
     "fold_metrics": q_fold_metrics,
     "avg_fold_predictions": q_avg_fold_predictions,
+    # binding B: day-granular times (ties broken by id), string app codes, year folds
+    "b_imp_time_lags": _feat(TIME_LAG_COLS, binding="b"),
+    "b_imp_gap_stats_user": _feat(GAP_USER, _std(GAP_USER), binding="b"),
+    "b_imp_count_lags": _feat(COUNT_LAG_COLS, binding="b"),
+    "b_imp_cumcounts": _feat(CUMCOUNT_COLS, binding="b"),
+    "b_log_gap_stats_user": lambda spark, sf_dir: q_log_gap_stats_user(spark, sf_dir, "b"),
+    "b_log_price_gap_stats_user": lambda spark, sf_dir: q_log_price_gap_stats_user(spark, sf_dir, "b"),
+    "b_log_mode_user": lambda spark, sf_dir: q_log_mode_user(spark, sf_dir, "b"),
+    "b_enc_user_app": q_b_enc_user_app,
     # no SQL oracle: hash-based folds, the full matrix, model fits
     "kfold_assign": q_kfold_assign,
     "model_matrix": q_model_matrix,

@@ -20,7 +20,7 @@ def fr(expr: str, digits: int = 6) -> str:
     return f"round(({expr}) * (1 + 1e-12), {digits})"
 
 
-IMP = """
+IMP_TMPL = """
 imp0 as (
   select *, epoch_us(impression_time) as us,
          epoch_us(impression_time) // 1000000 as impression_time_ord,
@@ -31,7 +31,7 @@ imp0 as (
          cast(day(impression_time) = 1 as int) as impression_timeIs_month_start,
          cast(hour(impression_time) as int) as impression_timeHour,
          cast(minute(impression_time) as int) as impression_timeMinute
-  from a_impressions),
+  from {imp_view}),
 os_first as (
   select os_version, 1 - train_set as o1, impression_time as o2, impression_id as o3,
          row_number() over (partition by os_version order by 1 - train_set, impression_time, impression_id) as rn
@@ -41,6 +41,7 @@ os_codes as (
 imp as (
   select imp0.* exclude (os_version), coalesce(c.code, -1) as os_version
   from imp0 left join os_codes c on imp0.os_version = c.os_version)"""
+IMP = IMP_TMPL.format(imp_view="a_impressions")
 
 IMP_LAGS = """
 imp_l as (
@@ -61,7 +62,7 @@ imp_d as (
     (p3 - p4) - (n4 - n3) as d4, (p4 - p5) - (n5 - n4) as d5
   from imp_l)"""
 
-LOG = """
+LOG_TMPL = """
 item as (select * from a_item_data),
 lg0 as (
   select v.*, i.item_price, i.category_1, i.category_2, i.category_3, i.product_type,
@@ -70,13 +71,13 @@ lg0 as (
          cast(weekofyear(v.server_time) as int) as server_timeWeek,
          cast(isodow(v.server_time) - 1 as int) as server_timeDayofweek,
          cast(hour(v.server_time) as int) as server_timeHour
-  from a_view_log v left join item i on v.item_id = i.item_id),
+  from {log_view} v left join item i on v.item_id = i.item_id),
 dev_first as (
-  select device_type, server_time as o1, session_id as o2, item_id as o3, row_id as o4,
-         row_number() over (partition by device_type order by server_time, session_id, item_id, row_id) as rn
+  select device_type, {order_as},
+         row_number() over (partition by device_type order by {order}) as rn
   from lg0 where device_type is not null),
 dev_codes as (
-  select device_type, cast(row_number() over (order by o1, o2, o3, o4) - 1 as int) as code from dev_first where rn = 1),
+  select device_type, cast(row_number() over (order by {order_o}) - 1 as int) as code from dev_first where rn = 1),
 lg as (
   select lg0.* exclude (device_type), coalesce(c.code, -1) as device_type
   from lg0 left join dev_codes c on lg0.device_type = c.device_type),
@@ -90,7 +91,7 @@ lg_l as (
     lag(item_price, 4) over w as pp4,
     lead(item_price, 1) over w as np1, lead(item_price, 2) over w as np2, lead(item_price, 3) over w as np3,
     lead(item_price, 4) over w as np4
-  from lg window w as (partition by user_id order by server_time, session_id, item_id, row_id)),
+  from lg window w as (partition by user_id order by {order})),
 lg_d as (
   select *,
     (us - p1) - (n1 - us) as d1, (us - p2) - (n2 - us) as d2, (us - p3) - (n3 - us) as d3,
@@ -100,8 +101,20 @@ lg_d as (
   from lg_l)"""
 
 
-def _with(*parts: str, views: list[str] | None = None) -> str:
-    return cte_prefix(views).rstrip("\n") + "," + ",".join(parts) + "\n"
+def log_ctes(log_view: str, order: list[str]) -> str:
+    return LOG_TMPL.format(
+        log_view=log_view, order=", ".join(order),
+        order_as=", ".join(f"{c} as o{i}" for i, c in enumerate(order)),
+        order_o=", ".join(f"o{i}" for i in range(len(order))))
+
+
+LOG = log_ctes("a_view_log", ["server_time", "session_id", "item_id", "row_id"])
+IMP_B = IMP_TMPL.format(imp_view="b_impressions")
+LOG_B = log_ctes("b_view_log", ["server_time", "l_orderkey", "l_linenumber", "item_id", "l_suppkey"])
+
+
+def _with(*parts: str, views: list[str] | None = None, binding: str = "a") -> str:
+    return cte_prefix(views, binding).rstrip("\n") + "," + ",".join(parts) + "\n"
 
 
 def _sec_stats(col: str, prefix: str) -> str:
@@ -426,7 +439,7 @@ def q_scan_impressions() -> str:
 FOLDS = "folds as (select cast(d as date) as d from generate_series(date '2024-01-01', date '2024-01-23', interval 1 day) t(d))"
 
 
-def _enc_ctes(keys: list[str], src: str = "imp", tag: str = "") -> list[str]:
+def _enc_ctes(keys: list[str], src: str = "imp", tag: str = "", fold: str = "impression_date") -> list[str]:
     """Naive per-fold encoders for one key set (fold table x other-fold rows)."""
     kl = ", ".join(f"t.{k}" for k in keys)
     nn = " and ".join(f"t.{k} is not null" for k in keys)
@@ -434,20 +447,20 @@ def _enc_ctes(keys: list[str], src: str = "imp", tag: str = "") -> list[str]:
     return [
         f"tr{tag} as (select * from {src} where train_set = 1)",
         f"grp{tag} as (select f.d, {kl}, avg(t.is_click) as m, count(t.is_click) as c, sum(t.is_click) as s "
-        f"from folds f join tr{tag} t on t.impression_date <> f.d where {nn} group by f.d, {kl})",
-        f"dall{tag} as (select f.d, avg(t.is_click) as fm from folds f join tr{tag} t on t.impression_date <> f.d "
+        f"from folds f join tr{tag} t on t.{fold} <> f.d where {nn} group by f.d, {kl})",
+        f"dall{tag} as (select f.d, avg(t.is_click) as fm from folds f join tr{tag} t on t.{fold} <> f.d "
         "group by f.d)",
         f"dgm{tag} as (select d, avg(c) as fc, avg(s) as fs from grp{tag} group by d)",
         f"fb{tag} as (select f.d, a.fm, g.fc, g.fs from folds f left join dall{tag} a on a.d = f.d "
         f"left join dgm{tag} g on g.d = f.d)",
         f"enc_tr{tag} as (select r.impression_id, "
-        f"case when r.impression_date in (select d from folds) then coalesce(g.m, fb.fm) else 0.0 end as e_mean, "
-        f"case when r.impression_date in (select d from folds) then coalesce(cast(g.c as double), fb.fc) else 0.0 end "
+        f"case when r.{fold} in (select d from folds) then coalesce(g.m, fb.fm) else 0.0 end as e_mean, "
+        f"case when r.{fold} in (select d from folds) then coalesce(cast(g.c as double), fb.fc) else 0.0 end "
         f"as e_count, "
-        f"case when r.impression_date in (select d from folds) then coalesce(cast(g.s as double), fb.fs) else 0.0 end "
+        f"case when r.{fold} in (select d from folds) then coalesce(cast(g.s as double), fb.fs) else 0.0 end "
         f"as e_sum "
-        f"from tr{tag} r left join fb{tag} fb on fb.d = r.impression_date "
-        f"left join grp{tag} g on g.d = r.impression_date and {on})",
+        f"from tr{tag} r left join fb{tag} fb on fb.d = r.{fold} "
+        f"left join grp{tag} g on g.d = r.{fold} and {on})",
         f"enc_te{tag} as (select r.impression_id, sum(coalesce(g.m, fb.fm)) / (select count(*) from folds) as e_mean, "
         f"sum(coalesce(cast(g.c as double), fb.fc)) / (select count(*) from folds) as e_count, "
         f"sum(coalesce(cast(g.s as double), fb.fs)) / (select count(*) from folds) as e_sum "
@@ -582,3 +595,57 @@ QUERIES = {
 
 def all_sql() -> dict[str, str]:
     return {k: f() for k, f in QUERIES.items()}
+
+
+# ---- binding B: day-granular times (lag ties broken by id), string app codes,
+# year folds with train years outside the fold list -------------------------
+
+FOLDS_B = "folds as (select cast(range as int) as d from range(1995, 2001))"
+
+
+def _b(*parts: str) -> str:
+    return _with(*parts, binding="b")
+
+
+def _b_wrap(sql_a: str, parts_a: list[str], parts_b: list[str]) -> str:
+    """Binding-B twin of an A query: same CTE chain after the binding parts."""
+    head = _with(*parts_a).rstrip("\n")
+    assert sql_a.startswith(head)
+    return _b(*parts_b).rstrip("\n") + sql_a[len(head):]
+
+
+def q_b_imp_cumcounts() -> str:
+    return _b_wrap(q_imp_cumcounts(), [IMP], [IMP_B])
+
+
+def q_b_log_gap_stats_user() -> str:
+    return _b_wrap(q_log_gap_stats_user(), [IMP, LOG], [IMP_B, LOG_B])
+
+
+def q_b_log_price_gap_stats_user() -> str:
+    return _b_wrap(q_log_price_gap_stats_user(), [IMP, LOG], [IMP_B, LOG_B])
+
+
+def q_b_log_mode_user() -> str:
+    joins = " ".join(f"left join m{i} on u.user_id = m{i}.user_id" for i in range(len(MODE_COLS)))
+    names = ", ".join(f"m{i}.{name}" for i, (_, name) in enumerate(MODE_COLS))
+    return _b(IMP_B, LOG_B, *_mode_ctes(), "u as (select distinct user_id from lg)") + (
+        f"select u.user_id, {names} from u {joins}")
+
+
+def q_b_enc_user_app() -> str:
+    return _b(IMP_B, FOLDS_B, *_enc_ctes(["user_id", "app_code"], fold="fold")) + (
+        f"select impression_id, {fr('e_mean')} as user_id_app_code_enc, {fr('e_count')} as user_id_app_code_countenc, "
+        f"{fr('e_sum')} as user_id_app_code_sumenc from (select * from enc_tr union all select * from enc_te)")
+
+
+QUERIES.update({
+    "b_imp_time_lags": lambda: _b_wrap(q_imp_time_lags(), [IMP, IMP_LAGS], [IMP_B, IMP_LAGS]),
+    "b_imp_gap_stats_user": lambda: _b_wrap(q_imp_gap_stats_user(), [IMP, IMP_LAGS], [IMP_B, IMP_LAGS]),
+    "b_imp_count_lags": lambda: _b_wrap(q_imp_count_lags(), [IMP, IMP_CNT], [IMP_B, IMP_CNT]),
+    "b_imp_cumcounts": q_b_imp_cumcounts,
+    "b_log_gap_stats_user": q_b_log_gap_stats_user,
+    "b_log_price_gap_stats_user": q_b_log_price_gap_stats_user,
+    "b_log_mode_user": q_b_log_mode_user,
+    "b_enc_user_app": q_b_enc_user_app,
+})
