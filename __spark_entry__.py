@@ -31,7 +31,7 @@ from clickweave.plans.encoders import encode_features  # noqa: E402
 from clickweave.plans.matrix import feature_names, model_matrix  # noqa: E402
 from clickweave.plans.model import TreeParams, average_fold_predictions, run_folds  # noqa: E402
 from clickweave.session import configure, cut_lineage, scratch_path  # noqa: E402
-from clickweave.sources.files import IMPRESSIONS, read_csv, write_csv  # noqa: E402
+from clickweave.sources.files import IMPRESSIONS, PREDICTIONS, read_csv, write_csv, write_predictions  # noqa: E402
 
 STATS = ("min", "max", "mean", "std")
 
@@ -330,6 +330,16 @@ def q_avg_fold_predictions(spark, sf_dir):
     return avg.select("impression_id", _fr("is_click").alias("is_click"))
 
 
+def q_predictions_sink(spark, sf_dir):
+    """Prediction sink (S3): fold-averaged test scores written as CSV to the
+    shared folder and scanned back with the declared schema."""
+    preds = q_avg_fold_predictions(spark, sf_dir).select(
+        F.col("impression_id").cast("string").alias("impression_id"), "is_click")
+    path = scratch_path(spark, "predictions-csv")
+    write_predictions(preds, path)
+    return read_csv(spark, path, PREDICTIONS)
+
+
 def q_kfold_assign(spark, sf_dir):
     e = _wb(spark, sf_dir).imps().filter(F.col("train_set") == 1)
     return kfold_assign(e, "impression_id", 5, label="is_click").select("impression_id", "is_click", "fold")
@@ -344,7 +354,8 @@ def _fold_run(spark, sf_dir):
     if "fold_run" not in wb._memo:
         matrix = model_matrix(wb.encoded())
         wb._memo["fold_run"] = run_folds(
-            spark, matrix, feature_names(), bindings.A_FOLDS, params=TreeParams(max_iter=20, min_instances=50))
+            spark, matrix, feature_names(), bindings.A_FOLDS, params=TreeParams(max_iter=20, min_instances=50),
+            importance_path=scratch_path(spark, "importance-csv"))
     return wb._memo["fold_run"]
 
 
@@ -410,6 +421,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "auc_exact": q_auc_exact,
     "fold_metrics": q_fold_metrics,
     "avg_fold_predictions": q_avg_fold_predictions,
+    "predictions_sink": q_predictions_sink,
     # binding B: day-granular times (ties broken by id), string app codes, year folds
     "b_imp_time_lags": _feat(TIME_LAG_COLS, binding="b"),
     "b_imp_gap_stats_user": _feat(GAP_USER, _std(GAP_USER), binding="b"),

@@ -590,6 +590,8 @@ QUERIES = {
     "auc_exact": q_auc_exact,
     "fold_metrics": q_fold_metrics,
     "avg_fold_predictions": q_avg_fold_predictions,
+    "predictions_sink": lambda: q_avg_fold_predictions().replace(
+        "select impression_id, round", "select cast(impression_id as varchar) as impression_id, round"),
 }
 
 
