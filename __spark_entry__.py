@@ -30,7 +30,7 @@ from clickweave.plans import features as fp  # noqa: E402
 from clickweave.plans.encoders import encode_features  # noqa: E402
 from clickweave.plans.matrix import feature_names, model_matrix  # noqa: E402
 from clickweave.plans.model import TreeParams, average_fold_predictions, run_folds  # noqa: E402
-from clickweave.session import configure, cut_lineage, scratch_path  # noqa: E402
+from clickweave.session import configure, cut_lineage, scratch_path, write_table  # noqa: E402
 from clickweave.sources.files import IMPRESSIONS, PREDICTIONS, read_csv, write_csv, write_predictions  # noqa: E402
 
 STATS = ("min", "max", "mean", "std")
@@ -99,8 +99,8 @@ class Workbench:
             len(self.b["folds"])).drop("__cw_slot")))
 
     def encoded(self) -> DataFrame:
-        return self._once("encoded", lambda: cut_lineage(encode_features(
-            self.spark, self.features(), self.b["folds"], self.b["fold"], self.b["fold_type"])))
+        return self._once("encoded", lambda: write_table(encode_features(
+            self.spark, self.features(), self.b["folds"], self.b["fold"], self.b["fold_type"]), "encoded"))
 
 
 def _wb(spark: SparkSession, sf_dir: str, binding: str = "a") -> Workbench:

@@ -29,7 +29,7 @@ from clickweave.plans import features as fp  # noqa: E402
 from clickweave.plans.encoders import encode_features  # noqa: E402
 from clickweave.plans.matrix import feature_names, model_matrix  # noqa: E402
 from clickweave.plans.model import TreeParams, run_folds  # noqa: E402
-from clickweave.session import cut_lineage, local_session  # noqa: E402
+from clickweave.session import local_session, write_table  # noqa: E402
 
 
 def main() -> None:
@@ -60,7 +60,7 @@ def main() -> None:
     enc_a = None
     if {"encode_a", "auc_a", "gbt_a"} & set(stages):
         def enc():
-            e = cut_lineage(encode_features(spark, feats_a, bindings.A_FOLDS))
+            e = write_table(encode_features(spark, feats_a, bindings.A_FOLDS), "bench-encoded")
             rows["encode_a"] = e.count()
             return e
         enc_a = timed("encode_a", enc)

@@ -38,7 +38,7 @@ from clickweave.operators.aggregates import (
 from clickweave.operators.dictionary import encode_first_seen
 from clickweave.operators.sequences import next_name, prev_name, with_neighbors, with_positions
 from clickweave.operators.skew import DEFAULT_HOT_ROWS, split_hot
-from clickweave.session import cut_lineage
+from clickweave.session import cut_lineage, write_table
 
 U, APP, OS, NET = "user_id", "app_code", "os_version", "is_4G"
 TIME, IID, LABEL, TRAIN = "impression_time", "impression_id", "is_click", "train_set"
@@ -80,6 +80,13 @@ def _checked_broadcast(small: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(small) if small.count() <= limit else small
 
 
+def _filled(cached: DataFrame) -> DataFrame:
+    """Fill a persisted frame before several branches read it; otherwise
+    stages that AQE runs side by side each compute it."""
+    cached.count()
+    return cached
+
+
 def _sec(c: Column) -> Column:
     return micros_to_seconds(c)
 
@@ -162,13 +169,13 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
     prices = [f"user_price_diff{k}" for k in range(1, cfg.price_lags + 1)]
     keep = [U, "device_type", "session_id", "item_id", "server_time_date", "server_timeWeek",
             "server_timeDayofweek", "server_timeHour", "server_timeDay", *cfg.item_columns, *diffs, *prices]
-    gapped = gapped.select(*dict.fromkeys(keep)).persist()
+    gapped = _filled(gapped.select(*dict.fromkeys(keep)).persist())
     try:
         per_user = gapped.groupBy(U).agg(
             *[c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", f"user_time_diff{k}_log")],
             *[c for k in range(1, cfg.price_lags + 1)
               for c in stat_columns(f"user_price_diff{k}", f"user_price_diff{k}_log", seconds=False)],
-            count_distinct("device_type", "device_uniq", bounded=True),
+            count_distinct("device_type", "device_uniq"),
             count_distinct("session_id", "sess_uniq"),
             count_distinct("item_id", "item_uniq"),
             count_distinct("server_time_date", "ser_dat_user_uniq"),
@@ -362,10 +369,10 @@ def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool,
     lagged frame by every statistics branch, so both are persisted (the
     cached data keeps its hash partitioning by user; ``held`` collects them
     for release after the result is lineage-cut)."""
-    base = df.persist()
+    base = _filled(df.persist())
     held.append(base)
     counted = _impression_counts(base)
-    lagged = _impression_lags(counted, bucket, cfg).persist()
+    lagged = _filled(_impression_lags(counted, bucket, cfg).persist())
     held.append(lagged)
     summed = _impression_aggregates(lagged, small_user_tables=hot)
     placed = _impression_positions(summed, bucket)
@@ -423,7 +430,7 @@ def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = Fe
         parts.append(_user_block(split.hot, log, bucket, True, cfg, held))
     out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     out = out.join(per_app, APP, "left").join(per_os, OS, "left")
-    result = cut_lineage(_finish_row(out).drop(US))
+    result = write_table(_finish_row(out).drop(US), "features")
     for frame in held:
         frame.unpersist()
     return result

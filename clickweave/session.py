@@ -90,3 +90,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing a parquet table into the shared checkpoint
+    folder and reading it back.
+
+    Used for wide stage outputs that later stages read only in part (the
+    feature table has ~270 columns, the encoders read ~35): parquet lets the
+    scan prune columns, which a checkpoint of serialized rows cannot.  The
+    hash partitioning is not kept, so tables that are joined on their
+    partitioning key use ``cut_lineage`` instead.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
