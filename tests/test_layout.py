@@ -77,3 +77,11 @@ def _shuffles(root):
         for i in range(children.size()):
             stack.append(children.apply(i))
     return user, other
+
+
+def test_cutoff_reaches_the_scan(spark):
+    import __spark_entry__ as se
+    df = se.queries()["train_cutoff"](spark, SF)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(ts,2024-01-24T00:00)" in plan, plan
+    assert "value:" not in plan.split("ReadSchema:")[1].split("\n")[0]  # unused column pruned
