@@ -346,9 +346,10 @@ def _impression_positions(df: DataFrame, bucket: Column | None) -> DataFrame:
         cols[down] = F.col(f"__size{i}") - F.col(f"__pos{i}")
     df = df.withColumns(cols)
     shares = {}
-    for _, up, down, up_r, down_r, total in POSITION_SPECS:
-        shares[up_r] = ratio(up, total)
-        shares[down_r] = ratio(down, total)
+    for i, (_, up, down, up_r, down_r, _total) in enumerate(POSITION_SPECS):
+        # the group size is the group's row count (the named count column)
+        shares[up_r] = ratio(up, f"__size{i}")
+        shares[down_r] = ratio(down, f"__size{i}")
     drop = [f"__{n}{i}" for i in range(len(POSITION_SPECS)) for n in ("pos", "size")]
     return df.withColumns(shares).drop(*drop)
 
@@ -372,11 +373,12 @@ def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool,
     base = _filled(df.persist())
     held.append(base)
     counted = _impression_counts(base)
-    lagged = _filled(_impression_lags(counted, bucket, cfg).persist())
+    # running positions sort narrow rows here, before the wide statistics
+    placed = _impression_positions(counted, bucket)
+    lagged = _filled(_impression_lags(placed, bucket, cfg).persist())
     held.append(lagged)
     summed = _impression_aggregates(lagged, small_user_tables=hot)
-    placed = _impression_positions(summed, bucket)
-    joined = _join_log(placed, log, small=hot)
+    joined = _join_log(summed, log, small=hot)
     return joined.drop(*[f"__d{k}" for k in range(1, cfg.time_lags + 1)])
 
 
