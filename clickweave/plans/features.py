@@ -74,9 +74,14 @@ def impression_order() -> list[Column]:
     return [(F.lit(1) - F.col(TRAIN)), F.col(TIME), F.col(IID)]
 
 
-def _checked_broadcast(small: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a grouped table only after counting it."""
+def _checked_broadcast(small: DataFrame, limit: int = MAX_BROADCAST_ROWS,
+                       held: list[DataFrame] | None = None) -> DataFrame:
+    """Broadcast a grouped table only after counting it.  The table is
+    cached so the count and the join read it once; pass ``held`` to release
+    it after the consuming stage is written."""
     small = small.cache()
+    if held is not None:
+        held.append(small)
     return F.broadcast(small) if small.count() <= limit else small
 
 
@@ -382,7 +387,7 @@ def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool,
     return joined.drop(*[f"__d{k}" for k in range(1, cfg.time_lags + 1)])
 
 
-def _global_tables(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _global_tables(df: DataFrame, held: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
     """Aggregates over all users: per app and per os (small domains, counted
     before broadcast)."""
     per_app = df.groupBy(APP).agg(
@@ -391,7 +396,7 @@ def _global_tables(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.max(TORD).alias("app_code_time_max"),
     )
     per_os = df.groupBy(OS).agg(count_rows("os_impression_count"))
-    return _checked_broadcast(per_app), _checked_broadcast(per_os)
+    return _checked_broadcast(per_app, held=held), _checked_broadcast(per_os, held=held)
 
 
 def _finish_row(df: DataFrame) -> DataFrame:
@@ -422,9 +427,10 @@ def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = Fe
     (all joins are left joins on unique keys).
     """
     imps = cut_lineage(imps)
-    per_app, per_os = _global_tables(imps)
-    split = split_hot(imps, [U], cfg.hot_rows)
     held: list[DataFrame] = []
+    per_app, per_os = _global_tables(imps, held)
+    split = split_hot(imps, [U], cfg.hot_rows)
+    held.append(split.keys)
     normal = split.normal.repartition(U)
     parts = [_user_block(normal, log, None, False, cfg, held)]
     if split.n_hot:
