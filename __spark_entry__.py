@@ -355,7 +355,7 @@ def _fold_run(spark, sf_dir):
         matrix = model_matrix(wb.encoded())
         wb._memo["fold_run"] = run_folds(
             spark, matrix, feature_names(), bindings.A_FOLDS, params=TreeParams(max_iter=20, min_instances=50),
-            importance_path=scratch_path(spark, "importance-csv"))
+            parallelism=8, importance_path=scratch_path(spark, "importance-csv"))
     return wb._memo["fold_run"]
 
 

@@ -34,10 +34,16 @@ def _names():
     return sorted(se.oracle_sql())
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, con, name):
     import __spark_entry__ as se
     sdf = se.queries()[name](spark, SF)
+    rel = con.sql(se.oracle_sql()[name])
+    assert {c: TYPES.get(t, t) for c, t in sdf.dtypes} == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     res = con.execute(se.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(sdf.columns) == sorted(dcols)
