@@ -263,6 +263,7 @@ def oof_encode_long(
     n_folds: int,
     id_col: str,
     kinds: Sequence[str] = KINDS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """All encodings of many key sets in one plan (V7).
 
@@ -274,6 +275,7 @@ def oof_encode_long(
     and the wide feature row is shuffled once.  ``id_col`` must be unique.
     """
     key_sets = [list(k) for k in key_sets]
+    max_broadcast_rows = MAX_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
     staged = with_slots(df.select(id_col, fold, train_flag, label, *{k for ks in key_sets for k in ks}),
                         fold, train_flag, folds)
     entries = F.array(*[F.struct(F.lit(j).alias("j"), _key_text(staged, ks).alias("k"))
@@ -285,6 +287,7 @@ def oof_encode_long(
     y = F.col(label).cast("bigint")
     key_ok = F.col("k").isNotNull()
     kd = train.filter(key_ok).groupBy("j", "k", fold).agg(F.sum(y).alias("s_kd"), F.count(y).alias("n_kd"))
+    kd = kd.persist()  # read by the key counts below and by every table
     ktot = kd.groupBy("j", "k").agg(
         F.sum("s_kd").alias("S_k"), F.sum("n_kd").alias("N_k"),
         F.count(F.lit(1)).alias("nf"), F.min(fold).alias("__f1"))
@@ -340,9 +343,18 @@ def oof_encode_long(
           .alias(f"v_{k}") for k in KINDS])
     table = kv.unionByName(test_vals)
 
-    looked = (long.select(id_col, SLOT, "j", "k")
-              .join(table, ["j", "k", SLOT], "left")
-              .join(F.broadcast(fallbacks), ["j", SLOT], "left"))
+    # Key sets with few keys (e.g. app_code) are where single key values hold
+    # large shares of the rows: their lookup rows are broadcast, so no shuffle
+    # partition holds a hot key.  The per-set key counts are J numbers; a set
+    # is broadcast only when keys x (D + 1) slots stay under the limit.
+    keys_per_set = {r["j"]: r["n"] for r in kd.groupBy("j").agg(
+        F.count_distinct("k").alias("n")).collect()}
+    small = [j for j, n in keys_per_set.items() if n * (n_folds + 1) <= max_broadcast_rows]
+    rows = long.select(id_col, SLOT, "j", "k")
+    in_small = F.col("j").isin(small) if small else F.lit(False)
+    looked = rows.filter(in_small).join(F.broadcast(table.filter(in_small)), ["j", "k", SLOT], "left")
+    looked = looked.unionByName(rows.filter(~in_small).join(table.filter(~in_small), ["j", "k", SLOT], "left"))
+    looked = looked.join(F.broadcast(fallbacks), ["j", SLOT], "left")
     looked = looked.select(id_col, "j", *[
         F.when(F.col(SLOT).isNull(), F.lit(0.0)).otherwise(F.coalesce(F.col(f"v_{k}"), F.col(f"fb_{k}"))).alias(k)
         for k in kinds])
@@ -352,3 +364,6 @@ def oof_encode_long(
             aggs.append(F.max(F.when(F.col("j") == j, F.col(k))).alias("_".join(ks) + SUFFIX[k]))
     wide = looked.groupBy(id_col).agg(*aggs)
     return df.join(wide, id_col, "left")
+
+
+MAX_BROADCAST_ROWS = 2_000_000

@@ -47,11 +47,12 @@ def _loop(pdf, keys):
     return out
 
 
-def _check(spark, pdf, keys, long):
+def _check(spark, pdf, keys, long, max_broadcast_rows=None):
     df = spark.createDataFrame(pdf.astype({"a": "object", "b": "object"}).where(pdf.notna(), None))
     ft = fold_table(spark, FOLDS, "date", "d")
     if long:
-        got = oof_encode_long(df, [keys], "y", "d", "train", ft, len(FOLDS), "rid").toPandas()
+        got = oof_encode_long(df, [keys], "y", "d", "train", ft, len(FOLDS), "rid",
+                              max_broadcast_rows=max_broadcast_rows).toPandas()
     else:
         got = oof_encode(df, keys, "y", "d", "train", ft, len(FOLDS)).toPandas()
     exp = _loop(pdf, keys)
@@ -71,6 +72,10 @@ def test_closed_form_pair_key_long_format(spark):
     _check(spark, _data(1), ["a", "b"], long=True)
 
 
+def test_long_format_shuffle_lookup(spark):
+    _check(spark, _data(4), ["a", "b"], long=True, max_broadcast_rows=0)
+
+
 def test_no_leak_from_own_fold(spark):
     pdf = _data(2)
     ft = fold_table(spark, FOLDS, "date", "d")
