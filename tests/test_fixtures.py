@@ -104,3 +104,23 @@ def test_unseen_or_null_category_is_minus_one(spark):
     codes = spark.createDataFrame([("b", 0)], "os string, code int")
     other = {r["o"]: r["os"] for r in encode_first_seen(df, "os", [F.col("o")], codes=codes).collect()}
     assert other[2] == -1
+
+
+def test_epoch_and_parts_ignore_session_zone(spark):
+    from clickweave.functions.dates import epoch_micros
+
+    df = spark.createDataFrame([(D(2018, 11, 4, 1, 30),), (D(2018, 12, 31, 23, 59, 59),)], "t timestamp_ntz")
+
+    def snapshot():
+        cols = [epoch_micros("t").alias("us"), *[c.alias(n) for n, c in date_part_columns("t", "t").items()]]
+        return sorted(tuple(r) for r in df.select(*cols).collect())
+
+    before = snapshot()
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")  # a DST change on 2018-11-04
+        after = snapshot()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert before == after
+    assert before[0][0] == 1541295000 * 10**6  # 2018-11-04 01:30:00 wall clock, no zone
