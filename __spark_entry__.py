@@ -444,9 +444,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return _QUERIES["imp_gap_stats_user"](spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict, dict]:
+    """Queries and SQL of the training-data operators; empty where that
+    subpackage or the pipeline file is not installed.  Any other import error
+    is raised."""
+    try:
+        import corpus_pipeline
+        from clickweave.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name not in ("clickweave.llm", "corpus_pipeline"):
+            raise
+        return {}, {}
+    sql = {**llm.ORACLE_SQL, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
+    return {**llm.QUERIES, "pipeline": corpus_pipeline.run}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.all_sql()
+    return {**oracle.all_sql(), **_training_data()[1]}
