@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import functools
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,8 +20,19 @@ SEPARATORS = " \t\n\x0b\x0c\r"
 BATCH_ROWS = 1000
 
 
+_SHIPPED: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of this session (rows, where the session keeps Spark's default)."""
+    """Make the package importable in Python workers (once per application, as a zip that Spark
+    distributes), and bound the Arrow batches of this session (in rows)."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        import clickweave
+
+        package = os.path.dirname(os.path.abspath(clickweave.__file__))
+        at = os.path.join(tempfile.mkdtemp(), "clickweave-package")
+        spark.sparkContext.addPyFile(shutil.make_archive(at, "zip", os.path.dirname(package), os.path.basename(package)))
+        _SHIPPED.add(spark.sparkContext.applicationId)
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))

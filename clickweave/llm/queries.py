@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweave.llm import byte_bpe, exact_dedup, mixing
+from clickweave.llm import byte_bpe, exact_dedup, mixing, near_dedup, token_shards
 from clickweave.llm.common import table
 
 
@@ -26,6 +26,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_shards.write_shards(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return token_shards.read_shards(manifest)
+
+
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -34,10 +39,16 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern())
 
 
+def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_token_shards": op4_token_shards,
     "op5_pfair_mix": op5_pfair_mix,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_chosen_path": op9_chosen_path,
 }
 
 ORACLE_SQL: dict[str, str] = {
