@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickweave.llm import byte_bpe, exact_dedup, mixing, near_dedup, token_shards
+from clickweave.llm import byte_bpe, exact_dedup, mixing, near_dedup, substring_dedup, token_shards
 from clickweave.llm.common import table
 
 
@@ -35,6 +35,10 @@ def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern())
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_shards": op4_token_shards,
     "op5_pfair_mix": op5_pfair_mix,
+    "op6_window_dedup": op6_window_dedup,
     "op7_byte_bpe": op7_byte_bpe,
     "op9_chosen_path": op9_chosen_path,
 }
