@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickweave.llm import byte_bpe, exact_dedup, mixing, near_dedup, substring_dedup, token_shards
+from clickweave.llm import byte_bpe, cross_polytope, exact_dedup, mixing, near_dedup, substring_dedup, token_shards
 from clickweave.llm.common import table
 
 
@@ -22,6 +23,10 @@ def split_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cross_polytope": op1_cross_polytope,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_shards": op4_token_shards,
     "op5_pfair_mix": op5_pfair_mix,
