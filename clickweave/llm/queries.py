@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_bpe, cross_polytope, exact_dedup, mixing, near_dedup, substring_dedup, token_shards
+from clickweave.llm import byte_bpe, cross_polytope, exact_dedup, licenses, mixing, near_dedup, quality, substring_dedup, token_shards
 from clickweave.llm.common import table
 
 
@@ -48,10 +48,21 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern())
 
 
+def op8_empirical_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts are the sources, paths the languages within a source."""
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: source / language / id."""
+    part = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
+    return licenses.scan(table(spark, sf_dir, "documents"), F.concat_ws("/", part("source"), part("lang"), part("doc_id")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_polytope": op1_cross_polytope,
     "op3_exact_dedup": op3_exact_dedup,
@@ -59,7 +70,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_pfair_mix": op5_pfair_mix,
     "op6_window_dedup": op6_window_dedup,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_empirical_bayes": op8_empirical_bayes,
     "op9_chosen_path": op9_chosen_path,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {

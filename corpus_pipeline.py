@@ -8,9 +8,11 @@ from clickweave.llm import stages
 from clickweave.llm.common import table, written
 
 STAGES = [
+    ("quality_classifier", stages.quality_filter),
     ("exact_dedup", stages.exact_dedup),
-    ("mix", stages.mix),
-    ("tokenize", stages.tokenize),
+    ("minhash_near_dedup", stages.near_dedup_stage),
+    ("mix_sources", stages.mix),
+    ("byte_bpe", stages.tokenize),
 ]
 
 #: The classifier's logarithms and the BPE merges have no SQL form; the tests hold run() against brute force.
