@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_bpe, cross_polytope, exact_dedup, licenses, mixing, near_dedup, quality, substring_dedup, token_shards
+from clickweave.llm import byte_bpe, context_mixing, cross_polytope, exact_dedup, licenses, mixing, near_dedup, quality, substring_dedup, token_shards
 from clickweave.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op2_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.scores(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
 
@@ -65,6 +69,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_polytope": op1_cross_polytope,
+    "op2_context_mixing": op2_context_mixing,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_token_shards": op4_token_shards,
     "op5_pfair_mix": op5_pfair_mix,
