@@ -47,7 +47,7 @@ from clickweave.session import scratch_path
 WINDOW = 35
 ROWS = 2
 MAX_COLUMNS = 1 << 30
-SEGMENT_BITS = 16
+SEGMENT_BITS = 20
 #: Windows that a task gathers before it sends them on.
 FLUSH = 2_000_000
 #: Marked windows of one group of the exact pass, about.
