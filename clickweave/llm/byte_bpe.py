@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import arrow_map, batch, fresh_name
+from clickweave.llm.common import arrow_map, batch
 
 #: Pieces kept per Python worker; beyond it the store starts again (memory bound, not a limit on pieces).
 STORED_PIECES = 600_000
@@ -224,15 +224,15 @@ def encoder(path: str, pattern: str):
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """All columns of ``docs`` and ``ids_col``: the ids as little-endian unsigned 32-bit integers (binary)."""
+    """All columns of ``docs`` and ``ids_col`` (replaced if there): the ids as little-endian unsigned 32-bit integers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, _ = encoder(path, pattern)
         for b in batches:
-            ids = [encode(t) if t else b"" for t in b.column(b.schema.get_field_index(text_col)).to_pylist()]
+            texts = b.column(b.schema.get_field_index(text_col)).cast(pa.string())
+            ids = [encode(t) if t else b"" for t in texts.to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ids, pa.binary())], [*b.schema.names, ids_col])
 
-    if fresh_name(docs, ids_col) != ids_col:
-        raise ValueError(f"the table has a column {ids_col!r}; name another ids_col")
+    docs = docs.drop(ids_col)
     schema = docs.withColumn(ids_col, F.lit(None).cast("binary")).schema
     return docs.mapInArrow(run, schema)
 

@@ -20,7 +20,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import text_or_empty, without_separators, written
+from clickweave.llm.common import fresh_name, text_or_empty, without_separators, written
 
 #: Digests that occur more than once are broadcast to the text scan up to this count (16 bytes each).
 BROADCAST_DIGESTS = 1_000_000
@@ -79,7 +79,7 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     out = docs.join(kept.distinct(), same, "left_semi")
     if kept.groupBy("__id", "__sha").agg(F.count("*").alias("c")).filter("c > 1").isEmpty():
         return out
-    key = "__class"
+    key = fresh_name(docs, "class")
     return out.withColumn(key, sha).dropDuplicates([id_col, key]).drop(key)
 
 

@@ -35,5 +35,6 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, lang, source, n_tokens, ids`` (ids: little-endian unsigned 32-bit integers)."""
+    docs = docs.select("doc_id", "lang", "source", "text")
     coded = byte_bpe.encode_documents(prepare(spark) and docs, tokenizer_path("byte_bpe_multi_50k.tiktoken"), split_pattern())
     return coded.select("doc_id", "lang", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
