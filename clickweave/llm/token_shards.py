@@ -30,6 +30,7 @@ import functools
 import json
 import os
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -51,7 +52,7 @@ SHARD_IDS = 4_000_000
 #: Bits per remaining key in a level of the hash.
 GAMMA = 2
 #: Words kept per Python worker with their ids.
-STORED_WORDS = 500_000
+STORED_WORDS = 700_000
 
 
 # ---- minimal perfect hash ----------------------------------------------------------
@@ -184,56 +185,66 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), {}
 
 
-def batch_encoder(path: str, item: str):
-    """list of texts -> list of the bytes of their ids, as the library encodes the whole texts.
-
-    For a tokenizer that drops white space and never joins across it, the ids
-    of a text are those of its blank-separated parts; each part is encoded
-    once per worker, the new ones of a batch in one call, set apart by a
-    special token.  Parts differ mostly by case and a closing mark, which such
-    a tokenizer lower-cases and splits off, so ASCII parts are encoded without
-    them.
+#: Byte to printable character, the alphabet of byte-level models: visible Latin-1 characters stand
+#: for themselves, the others follow from 256 on.
+_VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_ALPHABET = {b: b for b in _VISIBLE} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_VISIBLE)))}
+
+
+class _Parts(dict):
+    """Ids (as bytes) of the blank-separated parts of texts, encoded when first asked for.
+
+    For a tokenizer that drops white space, never joins across it and
+    lower-cases, a part of letters alone is one lower-cased piece of the
+    model, and a closing ASCII mark behind a letter or digit is a piece of its
+    own; every other part goes through the whole tokenizer.
     """
+
+    def __init__(self, tokenizer, item: str, byte_level: bool):
+        super().__init__()
+        self.tokenizer, self.model, self.item, self.byte_level = tokenizer, tokenizer.model, item, byte_level
+        self.words: dict[str, bytes] = {}
+
+    def word(self, part: str) -> bytes:
+        got = self.words.get(part)
+        if got is None:
+            low = part if not part.isascii() else part.lower()
+            if self.byte_level and low.isalpha() and (low.isascii() or low == low.lower() and unicodedata.is_normalized("NFC", low)):
+                ids = [t.id for t in self.model.tokenize(low.encode().decode("latin-1").translate(_ALPHABET))]
+            else:
+                ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+            if len(self.words) >= STORED_WORDS:
+                self.words.clear()
+            got = self.words[part] = np.array(ids, self.item).tobytes()
+        return got
+
+    def __missing__(self, part: str) -> bytes:
+        if len(self) >= STORED_WORDS:
+            self.clear()
+        if not part:
+            got = b""
+        elif part.isascii() and "<|" not in part:
+            low = part.lower()
+            if len(low) > 1 and low[-1] in ".,!?;:" and low[-2].isalnum():
+                got = self.word(low[:-1]) + self.word(low[-1])
+            else:
+                got = self.word(low)
+        else:
+            got = self.word(part)
+        self[part] = got
+        return got
+
+
+def batch_encoder(path: str, item: str):
+    """list of texts -> list of the bytes of their ids, as the library encodes the whole texts."""
     tok, stores = _tokenizer(path)
-    seen: dict[str, bytes] = stores.setdefault(item, {})
-    mark = max((t for t in tok.get_added_tokens_decoder().items()), key=lambda t: t[0], default=None)
-
-    def library(parts: list[str]) -> list[bytes]:
-        if mark is None or any(mark[1].content in p for p in parts):
-            return [np.array(tok.encode(p, add_special_tokens=False).ids, item).tobytes() for p in parts]
-        ids = np.array(tok.encode(mark[1].content.join(["", *parts, ""]), add_special_tokens=False).ids)
-        cut = np.flatnonzero(ids == mark[0])
-        ids = ids.astype(item)
-        return [ids[i + 1:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-
-    def shape(part: str) -> tuple[str, str]:
-        """The part to encode and the closing mark cut from it."""
-        if not part.isascii() or "<|" in part:
-            return part, ""
-        if len(part) > 1 and part[-1] in ".,!?;:" and part[-2].isalnum():
-            return part[:-1].lower(), part[-1]
-        return part.lower(), ""
-
-    def learn(new: set[str]) -> None:
-        shaped = {p: shape(p) for p in new}
-        need = list({x for pair in shaped.values() for x in pair if x and x not in seen})
-        for i in range(0, len(need), 2000):
-            seen.update(zip(need[i:i + 2000], library(need[i:i + 2000]), strict=True))
-        for p, (base, tail) in shaped.items():
-            seen[p] = seen[base] + (seen[tail] if tail else b"")
+    if item not in stores:
+        kinds = str(json.loads(tok.to_str())["pre_tokenizer"])
+        stores[item] = _Parts(tok, item, "ByteLevel" in kinds)
+    ids_of = stores[item].__getitem__
 
     def encode(texts: list[str | None]) -> list[bytes]:
-        out = []
-        for i in range(0, len(texts), 100):
-            split = [t.replace("\n", " ").replace("\t", " ").split(" ") if t else [] for t in texts[i:i + 100]]
-            if len(seen) >= STORED_WORDS:
-                seen.clear()
-            seen[""] = b""
-            new = set().union(*split) - seen.keys()
-            if new:
-                learn(new)
-            out += [b"".join(map(seen.__getitem__, parts)) for parts in split]
-        return out
+        return [b"".join(map(ids_of, t.replace("\n", " ").replace("\t", " ").split(" "))) if t else b"" for t in texts]
 
     return encode
 
