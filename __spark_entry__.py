@@ -11,6 +11,7 @@ the oracle (``_fr``).
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import sys
 from collections.abc import Callable
@@ -277,15 +278,18 @@ def _enc_query(kind: str, train: bool):
     return run
 
 
-def q_enc_batch(spark, sf_dir):
-    wb = _wb(spark, sf_dir)
-    modes = wb.log_tables().user.select("user_id", "item_id", "product_type")
-    base = cut_lineage(wb.imps().join(modes, "user_id", "left"))
-    keys = [["app_code"], ["user_id", "app_code"], ["user_id", "item_id", "product_type"]]
-    out = oof_encode_long(base, keys, "is_click", "impression_date", "train_set", wb.folds(), len(bindings.A_FOLDS),
-                          "impression_id")
-    cols = ["_".join(k) + s for k in keys for s in ("_enc", "_countenc", "_sumenc")]
-    return out.select("impression_id", *[_fr(c).alias(c) for c in cols])
+def _enc_batch(name: str):
+    keys = oracle.ENC_BATCHES[name]
+
+    def run(spark, sf_dir):
+        wb = _wb(spark, sf_dir)
+        base = wb._once("imps_with_modes", lambda: cut_lineage(wb.imps().join(
+            wb.log_tables().user.select("user_id", *[n for _, n in oracle.MODE_COLS]), "user_id", "left")))
+        out = oof_encode_long(base, keys, "is_click", "impression_date", "train_set", wb.folds(), len(bindings.A_FOLDS),
+                              "impression_id")
+        cols = ["_".join(k) + s for k in keys for s in ("_enc", "_countenc", "_sumenc")]
+        return out.select("impression_id", *[_fr(c).alias(c) for c in cols])
+    return run
 
 
 def q_fold_sizes(spark, sf_dir):
@@ -300,6 +304,14 @@ def q_timeseries_split(spark, sf_dir):
     return timeseries_split_sizes(train, "impression_date", "is_click", wb.folds())
 
 
+def q_timeseries_split_gaps(spark, sf_dir):
+    """Listed folds without rows: before all rows, after them, and between."""
+    wb = _wb(spark, sf_dir)
+    train = wb.imps().filter((F.col("train_set") == 1) & (F.col("impression_date") != F.lit("2024-01-05").cast("date")))
+    folds = fold_table(spark, [*bindings.A_FOLDS, dt.date(2023, 12, 30), dt.date(2030, 1, 1)], "date", "impression_date")
+    return timeseries_split_sizes(train, "impression_date", "is_click", folds)
+
+
 def _fold_auc(spark, sf_dir) -> DataFrame:
     e = _wb(spark, sf_dir).enc_user_app().filter(F.col("train_set") == 1)
     return auc_by_group(e, "is_click", "user_id_app_code_enc", ["impression_date"])
@@ -349,12 +361,16 @@ def q_model_matrix(spark, sf_dir):
     return model_matrix(_wb(spark, sf_dir).encoded())
 
 
+#: Trees per fold model of the registered queries (the operator's parameter; 250 rows per leaf as in TreeParams).
+GBT_TREES = 20
+
+
 def _fold_run(spark, sf_dir):
     wb = _wb(spark, sf_dir)
     if "fold_run" not in wb._memo:
         matrix = model_matrix(wb.encoded())
         wb._memo["fold_run"] = run_folds(
-            spark, matrix, feature_names(), bindings.A_FOLDS, params=TreeParams(max_iter=20, min_instances=50),
+            spark, matrix, feature_names(), bindings.A_FOLDS, params=TreeParams(max_iter=GBT_TREES),
             parallelism=8, importance_path=scratch_path(spark, "importance-csv"))
     return wb._memo["fold_run"]
 
@@ -363,6 +379,16 @@ def q_gbt_fold_scores(spark, sf_dir):
     return _fold_run(spark, sf_dir).metrics
 
 
+def q_model_predictions(spark, sf_dir):
+    """Test scores of the fold models averaged per impression (M5), written by
+    the prediction sink and scanned back (S3)."""
+    scores = _fold_run(spark, sf_dir).test_scores
+    preds = average_fold_predictions(scores).select(F.col("impression_id").cast("string").alias("impression_id"), "is_click")
+    path = scratch_path(spark, "model-predictions-csv")
+    write_predictions(preds, path)
+    return read_csv(spark, path, PREDICTIONS)
+
+
 def q_feature_importance(spark, sf_dir):
     return _fold_run(spark, sf_dir).importance
 
@@ -415,9 +441,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enc_count_test": _enc_query("count", False),
     "enc_sum_train": _enc_query("sum", True),
     "enc_sum_test": _enc_query("sum", False),
-    "enc_batch": q_enc_batch,
+    **{name: _enc_batch(name) for name in oracle.ENC_BATCHES},
     "fold_sizes": q_fold_sizes,
     "timeseries_split": q_timeseries_split,
+    "timeseries_split_gaps": q_timeseries_split_gaps,
     "auc_exact": q_auc_exact,
     "fold_metrics": q_fold_metrics,
     "avg_fold_predictions": q_avg_fold_predictions,
@@ -431,10 +458,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "b_log_price_gap_stats_user": lambda spark, sf_dir: q_log_price_gap_stats_user(spark, sf_dir, "b"),
     "b_log_mode_user": lambda spark, sf_dir: q_log_mode_user(spark, sf_dir, "b"),
     "b_enc_user_app": q_b_enc_user_app,
-    # no SQL oracle: hash-based folds, the full matrix, model fits
     "kfold_assign": q_kfold_assign,
+    # no SQL oracle: the full matrix, model fits
     "model_matrix": q_model_matrix,
     "gbt_fold_scores": q_gbt_fold_scores,
+    "model_predictions": q_model_predictions,
     "feature_importance": q_feature_importance,
 }
 

@@ -3,7 +3,6 @@ ratios.  Every function returns a built-in Spark ``Column`` (whole-stage
 codegen, no Python at run time)."""
 
 from clickweave.functions.dates import (
-    add_date_parts,
     date_part_columns,
     epoch_micros,
     epoch_seconds,
@@ -12,7 +11,6 @@ from clickweave.functions.dates import (
 from clickweave.functions.gaps import ratio, second_difference, step_gap, total_gap
 
 __all__ = [
-    "add_date_parts",
     "date_part_columns",
     "epoch_micros",
     "epoch_seconds",

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +25,9 @@ def epoch_micros(ts: str | Column) -> Column:
 
 def epoch_seconds(ts: str | Column) -> Column:
     """Whole seconds since 1970 (the wall-clock second, no zone): ``us div 10^6``."""
-    return F.floor(epoch_micros(ts) / F.lit(1_000_000)).cast("bigint")
+    us = epoch_micros(ts)
+    million = F.lit(1_000_000).cast("bigint")
+    return F.call_function("div", us - F.pmod(us, million), million)
 
 
 def micros_to_seconds(us: str | Column) -> Column:
@@ -43,7 +43,7 @@ def parse_timestamp(text: str | Column, formats: tuple[str, ...] = ("yyyy-MM-dd
 
 
 def date_part_columns(ts: str | Column, prefix: str, time: bool = True) -> dict[str, Column]:
-    """The parts of ``add_date_parts`` as named columns.
+    """Date (and time) parts as named columns.
 
     Week is the ISO week; Dayofweek counts Monday as 0; the month flags are
     0/1 integers; Minute is the minute of the hour.
@@ -61,15 +61,3 @@ def date_part_columns(ts: str | Column, prefix: str, time: bool = True) -> dict[
         parts[f"{prefix}Hour"] = F.hour(c)
         parts[f"{prefix}Minute"] = F.minute(c)
     return parts
-
-
-def add_date_parts(df: DataFrame, field: str, drop: bool = False, time: bool = True) -> DataFrame:
-    """Add Day, Week, Dayofweek, Is_month_end, Is_month_start (and Hour,
-    Minute when ``time``) of ``field``; the prefix is the field name without a
-    trailing ``date`` / ``Date``.  A text field is parsed first."""
-    src = F.col(field)
-    if dict(df.dtypes)[field] == "string":
-        src = parse_timestamp(field)
-    prefix = re.sub("[Dd]ate$", "", field)
-    out = df.withColumns(date_part_columns(src, prefix, time))
-    return out.drop(field) if drop else out

@@ -34,11 +34,6 @@ def join_back(df: DataFrame, table: DataFrame, keys: Sequence[str], right_keys:
     return df.join(table, keys, "left")
 
 
-def group_join(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """``df`` left-joined with ``df.groupBy(keys).agg(aggs)``."""
-    return join_back(df, df.groupBy(*keys).agg(*aggs), keys)
-
-
 def stat_columns(value: str | Column, prefix: str, seconds: bool = True) -> list[Column]:
     """min / max / mean / sample std of ``value`` named ``{prefix}_{stat}``.
 
@@ -66,11 +61,14 @@ def count_distinct(value: str, name: str, bounded: bool = False) -> Column:
     day, minute, month flags).  Then the count is the number of set bits of
     a 64-bit mask ``bit_or(1 << value)``: a fixed-width buffer, so the plan
     stays a hash aggregate with partial aggregation and no row expansion
-    (a per-group set would fall back to sort-based aggregation).
+    (a per-group set would fall back to sort-based aggregation).  Any other
+    value is an error, so nothing is dropped from the count in silence.
     """
     if bounded:
-        v = F.col(value).cast("int")
-        bit = F.when(v.between(0, 63), F.expr(f"shiftleft(cast(1 as bigint), cast(`{value}` as int))"))
+        v = F.col(value)
+        outside = F.raise_error(F.concat(F.lit(f"{value} is outside 0..63: "), v.cast("string"))).cast("bigint")
+        bit = F.when(v.isNull(), F.lit(None).cast("bigint")).when(
+            v.between(0, 63), F.expr(f"shiftleft(cast(1 as bigint), cast(`{value}` as int))")).otherwise(outside)
         return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint").alias(name)
     return F.count_distinct(F.col(value)).alias(name)
 
@@ -96,30 +94,25 @@ def mode_table(df: DataFrame, group: Sequence[str], value: str, name: str | None
 def modes_table(df: DataFrame, group: Sequence[str], columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Modes of several columns at once: ``columns`` = [(source, output)].
 
-    Each row is expanded to one record per column holding the value in a
-    numeric or a text slot; one grouped count per (group, column, value),
-    then one grouped minimum of (-count, value) per group and column, pivoted
-    back and cast to the source types.  Same rule as ``mode_table``: most
+    Each row is expanded to one record per column, with one slot per value
+    type, so values are counted and compared in their own type; then one
+    grouped count per (group, column, value), and one grouped minimum of
+    (-count, value) per group and column.  Same rule as ``mode_table``: most
     frequent non-NULL value, smallest on ties; NULL when a column has no
     value in the group.
     """
     group = list(group)
     types = dict(df.dtypes)
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    kinds = sorted({types[src] for src, _ in columns})
+    slots = [f"__v{i}" for i in range(len(kinds))]
     entries = []
     for i, (src, _) in enumerate(columns):
-        is_num = types[src] in numeric
-        num = F.col(src).cast("double") if is_num else F.lit(None).cast("double")
-        txt = F.lit(None).cast("string") if is_num else F.col(src).cast("string")
-        entries.append(F.when(F.col(src).isNotNull(), F.struct(F.lit(i).alias("i"), num.alias("x"), txt.alias("t"))))
-    long = df.select(*group, F.explode(F.array(*entries)).alias("e")).filter(F.col("e").isNotNull())
-    long = long.select(*group, "e.i", "e.x", "e.t")
-    counts = long.groupBy(*group, "i", "x", "t").agg(F.count(F.lit(1)).alias("__n"))
+        values = [(F.col(src) if types[src] == kind else F.lit(None).cast(kind)).alias(slot) for kind, slot in zip(kinds, slots)]
+        entries.append(F.when(F.col(src).isNotNull(), F.struct(F.lit(i).alias("__i"), *values)))
+    long = df.select(*group, F.explode(F.array(*entries)).alias("__e")).filter(F.col("__e").isNotNull())
+    long = long.select(*group, "__e.*")
+    counts = long.groupBy(*group, "__i", *slots).agg(F.count(F.lit(1)).alias("__n"))
     best = counts.groupBy(*group).agg(*[
-        F.min(F.when(F.col("i") == i, F.struct((-F.col("__n")).alias("n"), "x", "t"))).alias(f"__m{i}")
-        for i in range(len(columns))])
-    out = []
-    for i, (src, name) in enumerate(columns):
-        slot = "x" if types[src] in numeric else "t"
-        out.append(F.col(f"__m{i}.{slot}").cast(types[src]).alias(name))
-    return best.select(*group, *out)
+        F.min(F.when(F.col("__i") == i, F.struct((-F.col("__n")).alias("n"), F.col(slots[kinds.index(types[src])]).alias("v")))).alias(f"__m{i}")
+        for i, (src, _) in enumerate(columns)])
+    return best.select(*group, *[F.col(f"__m{i}.v").alias(name) for i, (_, name) in enumerate(columns)])

@@ -34,7 +34,7 @@ def fold_sizes(train: DataFrame, fold: str, label: str, folds: DataFrame) -> Dat
         F.sum("n_fold").over(everything).alias("n_all"),
         F.sum("pos_fold").over(everything).alias("pos_all"),
     )
-    joined = F.broadcast(folds).join(per, fold, "left")
+    joined = folds.join(per, fold, "left")
     # folds without rows still need the totals: take them from any row
     filled = joined.withColumn("n_all", F.max("n_all").over(everything)).withColumn(
         "pos_all", F.max("pos_all").over(everything)
@@ -53,6 +53,9 @@ def timeseries_split_sizes(train: DataFrame, fold: str, label: str, folds: DataF
     per = train.groupBy(fold).agg(
         F.count(F.lit(1)).alias("n_fold"), F.sum(F.col(label).cast("bigint")).alias("pos_fold")
     )
+    # listed folds without rows take their place in the order with zero counts
+    empty = folds.join(per, fold, "left_anti").select(fold, F.lit(0).cast("bigint").alias("n_fold"), F.lit(0).cast("bigint").alias("pos_fold"))
+    per = per.unionByName(empty)
     before = Window.orderBy(fold).rowsBetween(Window.unboundedPreceding, -1)
     per = per.select(
         fold,
@@ -61,8 +64,7 @@ def timeseries_split_sizes(train: DataFrame, fold: str, label: str, folds: DataF
         F.coalesce(F.sum("n_fold").over(before), F.lit(0)).alias("n_before"),
         F.coalesce(F.sum("pos_fold").over(before), F.lit(0)).alias("pos_before"),
     )
-    # listed folds without rows: rows before them = all rows on smaller folds
-    listed = F.broadcast(folds).join(per, fold, "left")
+    listed = folds.join(per, fold, "left")
     return listed.select(
         fold,
         F.coalesce("n_fold", F.lit(0)).cast("bigint").alias("n_valid"),
@@ -73,22 +75,19 @@ def timeseries_split_sizes(train: DataFrame, fold: str, label: str, folds: DataF
 
 
 def kfold_assign(df: DataFrame, id_col: str, k: int, label: str | None = None, seed: int = 42) -> DataFrame:
-    """k-fold (K1): ``fold = pmod(xxhash64(seed, id), k)``; with ``label``,
-    stratified by label: rows are ranked by hash inside (label, hash bucket),
-    shifted by the bucket's running offset, and dealt round-robin, so each
-    fold gets every k-th row of each label.  The offset table is one row per
-    (label, bucket), never a whole label in one task."""
-    h = F.xxhash64(F.lit(seed), F.col(id_col))
-    if label is None:
-        return df.withColumn("fold", F.pmod(h, F.lit(k)).cast("int"))
-    nb = 1024
-    staged = df.withColumn("__h", h).withColumn("__b", F.pmod(F.col("__h"), F.lit(nb)))
-    w_in = Window.partitionBy(label, "__b").orderBy("__h", id_col)
+    """k-fold (K1).  Rows are put in the order of ``md5(seed:id)``, then id, and
+    dealt round-robin; with ``label``, inside each label (NULL is a label of
+    its own), so each fold gets every k-th row of each label.  Rows are ranked
+    inside (label, digest prefix) buckets and shifted by the buckets' running
+    offsets, one row per (label, bucket): never a whole label in one task."""
+    by = [F.col(label)] if label else [F.lit(0)]
+    staged = df.withColumn("__h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string"))))
+    staged = staged.withColumns({"__b": F.coalesce(F.substring("__h", 1, 3), F.lit("")), "__l": by[0]})
+    w_in = Window.partitionBy("__l", "__b").orderBy("__h", id_col)
     staged = staged.withColumn("__rn", F.row_number().over(w_in))
-    counts = staged.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(label, "__b", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-    out = staged.join(F.broadcast(offsets), [label, "__b"], "left")
-    return out.withColumn("fold", F.pmod(F.col("__off") + F.col("__rn") - 1, F.lit(k)).cast("int")).drop(
-        "__h", "__b", "__rn", "__off"
-    )
+    counts = staged.groupBy("__l", "__b").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__l").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(F.col("__l").alias("__ol"), F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    out = staged.join(offsets, F.col("__l").eqNullSafe(F.col("__ol")) & (F.col("__b") == F.col("__ob")))
+    out = out.withColumn("fold", F.pmod(F.col("__off") + F.col("__rn") - 1, F.lit(k)).cast("int"))
+    return out.select(*df.columns, "fold")

@@ -37,6 +37,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickweave.session import cut_lineage
+
 KINDS = ("mean", "count", "sum")
 SUFFIX = {"mean": "_enc", "count": "_countenc", "sum": "_sumenc"}
 SLOT = "__cw_slot"
@@ -190,24 +192,6 @@ def oof_encode(
     return out.select(*keep)
 
 
-def oof_encode_batch(
-    df: DataFrame,
-    key_sets: Sequence[Sequence[str]],
-    label: str,
-    fold: str,
-    train_flag: str,
-    folds: DataFrame,
-    n_folds: int,
-    kinds: Sequence[str] = KINDS,
-) -> DataFrame:
-    """All encodings for many key sets (V7): one (key, fold) aggregate and
-    one join per key set, no per-fold passes."""
-    out = with_slots(df, fold, train_flag, folds)
-    for keys in key_sets:
-        out = oof_encode(out, keys, label, fold, train_flag, folds, n_folds, kinds, base=df)
-    return out.drop(SLOT)
-
-
 def fold_values(
     rows: DataFrame,
     train: DataFrame,
@@ -287,7 +271,7 @@ def oof_encode_long(
     y = F.col(label).cast("bigint")
     key_ok = F.col("k").isNotNull()
     kd = train.filter(key_ok).groupBy("j", "k", fold).agg(F.sum(y).alias("s_kd"), F.count(y).alias("n_kd"))
-    kd = kd.persist()  # read by the key counts below and by every table
+    kd = cut_lineage(kd)  # read by the key counts below and by every table
     ktot = kd.groupBy("j", "k").agg(
         F.sum("s_kd").alias("S_k"), F.sum("n_kd").alias("N_k"),
         F.count(F.lit(1)).alias("nf"), F.min(fold).alias("__f1"))
@@ -345,15 +329,22 @@ def oof_encode_long(
 
     # Key sets with few keys (e.g. app_code) are where single key values hold
     # large shares of the rows: their lookup rows are broadcast, so no shuffle
-    # partition holds a hot key.  The per-set key counts are J numbers; a set
-    # is broadcast only when keys x (D + 1) slots stay under the limit.
-    keys_per_set = {r["j"]: r["n"] for r in kd.groupBy("j").agg(
-        F.count_distinct("k").alias("n")).collect()}
-    small = [j for j, n in keys_per_set.items() if n * (n_folds + 1) <= max_broadcast_rows]
+    # partition holds a hot key.  The per-set key counts are J numbers; sets
+    # are taken from the smallest on while all their keys x (D + 1) slots
+    # together stay under the limit.  NULL keys need no lookup at all.
+    keys_per_set = {r["j"]: r["count"] for r in ktot.groupBy("j").count().collect()}
+    small, budget = [], max_broadcast_rows
+    for n, j in sorted((n, j) for j, n in keys_per_set.items()):
+        budget -= n * (n_folds + 1)
+        if budget < 0:
+            break
+        small.append(j)
     rows = long.select(id_col, SLOT, "j", "k")
     in_small = F.col("j").isin(small) if small else F.lit(False)
     looked = rows.filter(in_small).join(F.broadcast(table.filter(in_small)), ["j", "k", SLOT], "left")
-    looked = looked.unionByName(rows.filter(~in_small).join(table.filter(~in_small), ["j", "k", SLOT], "left"))
+    large = rows.filter(~in_small)
+    looked = looked.unionByName(large.filter(key_ok).join(table.filter(~in_small), ["j", "k", SLOT], "left"))
+    looked = looked.unionByName(large.filter(~key_ok), allowMissingColumns=True)
     looked = looked.join(F.broadcast(fallbacks), ["j", SLOT], "left")
     looked = looked.select(id_col, "j", *[
         F.when(F.col(SLOT).isNull(), F.lit(0.0)).otherwise(F.coalesce(F.col(f"v_{k}"), F.col(f"fb_{k}"))).alias(k)

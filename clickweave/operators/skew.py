@@ -2,8 +2,9 @@
 
 The list of hot keys is bounded by construction: a key is hot when it has
 more than ``threshold`` rows, so there are at most ``rows / threshold`` of
-them.  The list is counted before it is broadcast, and a broadcast is refused
-above ``max_hot_keys`` (the caller then raises the threshold).
+them.  The list is counted: up to ``max_hot_keys`` it is broadcast, a longer
+one is joined by shuffle.  Rows with a NULL key belong to no group; they are
+split off, so they never meet in one task.
 """
 
 from __future__ import annotations
@@ -20,12 +21,14 @@ MAX_HOT_KEYS = 200_000
 
 @dataclass
 class HotSplit:
-    """Rows of ordinary keys, rows of hot keys, and the hot key list."""
+    """Rows of ordinary keys, of hot keys and without a key, and the hot key list."""
 
     normal: DataFrame
     hot: DataFrame
+    unkeyed: DataFrame
     keys: DataFrame
     n_hot: int
+    small: bool
 
 
 def hot_keys(df: DataFrame, key: Sequence[str], threshold: int = DEFAULT_HOT_ROWS) -> DataFrame:
@@ -48,24 +51,26 @@ def split_hot(
     threshold: int = DEFAULT_HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
 ) -> HotSplit:
-    """Split ``df`` into rows of ordinary keys and rows of hot keys.
+    """Split ``df`` into rows of ordinary keys, of hot keys, and with a NULL key part.
 
-    The hot list is counted (a small job over a pre-aggregated table) and
-    broadcast only when it has at most ``max_hot_keys`` rows.  When there is
-    no hot key the ``hot`` frame is empty and the caller can skip its plan.
+    The hot list is counted (a small job over a pre-aggregated table).  When
+    there is no hot key the ``hot`` frame is empty and the caller can skip
+    its plan.
     """
     key = list(key)
+    real = F.lit(True)
+    for k in key:
+        real = real & F.col(k).isNotNull()
     keys = hot_keys(df, key, threshold).cache()
     n_hot = keys.count()
-    if n_hot > max_hot_keys:
-        raise ValueError(
-            f"{n_hot} keys exceed {threshold} rows; raise the threshold so the hot list "
-            f"stays under {max_hot_keys} rows"
-        )
-    small = F.broadcast(keys)
+    small = n_hot <= max_hot_keys
+    listed = F.broadcast(keys) if small else keys
+    rows = df.filter(real)
     return HotSplit(
-        normal=df.join(small, key, "left_anti"),
-        hot=df.join(small, key, "left_semi"),
+        normal=rows.join(listed, key, "left_anti") if n_hot else rows,
+        hot=rows.join(listed, key, "left_semi"),
+        unkeyed=df.filter(~real),
         keys=keys,
         n_hot=n_hot,
+        small=small,
     )

@@ -8,7 +8,7 @@ Layout (see README, "Scale"):
 * Users with more rows than ``hot_rows`` (a counted, bounded list) are split
   off.  Their sequences are windowed per (user, time bucket) with an exact rim
   fix-up, their aggregates are partially aggregated before the shuffle, and
-  per-user tables of them (at most one row per hot user) are broadcast.
+  log tables cut to them are broadcast when counted small.
 * The view log is never joined back onto itself: its features are grouped
   tables keyed by user, (user, date), (user, weekday) and (user, hour).  Its
   lag window is partitioned by (user, bucket), where the bucket is NULL for
@@ -20,14 +20,13 @@ reference on purpose; they are not point-in-time safe.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.dates import date_part_columns, epoch_micros, epoch_seconds, micros_to_seconds
-from clickweave.functions.gaps import ratio
+from clickweave.functions.gaps import ratio, second_difference, step_gap, total_gap
 from clickweave.operators.aggregates import (
     count_distinct,
     count_rows,
@@ -37,7 +36,7 @@ from clickweave.operators.aggregates import (
 )
 from clickweave.operators.dictionary import encode_first_seen
 from clickweave.operators.sequences import next_name, prev_name, with_neighbors, with_positions
-from clickweave.operators.skew import DEFAULT_HOT_ROWS, split_hot
+from clickweave.operators.skew import DEFAULT_HOT_ROWS, HotSplit, split_hot
 from clickweave.session import cut_lineage, write_table
 
 U, APP, OS, NET = "user_id", "app_code", "os_version", "is_4G"
@@ -48,6 +47,8 @@ HOUR, MINUTE = "impression_timeHour", "impression_timeMinute"
 MOE, MOS = "impression_timeIs_month_end", "impression_timeIs_month_start"
 
 MAX_BROADCAST_ROWS = 2_000_000
+#: Rows of a log table of hot users (about 60 columns) that are broadcast at most.
+MAX_HOT_TABLE_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -144,13 +145,12 @@ def log_gap_columns(log: DataFrame, cfg: FeatureConfig, bucket: Column | None) -
     df = with_neighbors(log, [U], order, depths, bucket)
     gaps = {}
     for k in range(1, cfg.time_lags + 1):
-        back = F.col(US) - F.col(prev_name(US, k))
-        fwd = F.col(next_name(US, k)) - F.col(US)
-        gaps[f"__log_d{k}"] = back - fwd
+        back, fwd = total_gap(US, prev_name(US, k)), total_gap(US, next_name(US, k), backward=False)
+        gaps[f"__log_d{k}"] = second_difference(back, fwd)
     for k in range(1, cfg.price_lags + 1):
-        back = F.col("item_price") - F.col(prev_name("item_price", k))
-        fwd = F.col(next_name("item_price", k)) - F.col("item_price")
-        gaps[f"user_price_diff{k}"] = back - fwd
+        back = total_gap("item_price", prev_name("item_price", k))
+        fwd = total_gap("item_price", next_name("item_price", k), backward=False)
+        gaps[f"user_price_diff{k}"] = second_difference(back, fwd)
     helper = [f(c, k) for c, d in depths.items() for k in range(1, d + 1) for f in (prev_name, next_name)]
     return df.withColumns(gaps).drop(*helper)
 
@@ -163,9 +163,11 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
     hour) in one expanded aggregate; all modes in one long-format pass), then
     each table is lineage-cut and the cache released.
     """
+    log = log.filter(F.col(U).isNotNull())  # every table is keyed by user, and a missing user is no group
     split = split_hot(log, [U], cfg.hot_rows)
     if split.n_hot:
-        flagged = log.join(F.broadcast(split.keys.withColumn("__hot", F.lit(True))), U, "left")
+        marked = split.keys.withColumn("__hot", F.lit(True))
+        flagged = log.join(F.broadcast(marked) if split.small else marked, U, "left")
         bucket = F.when(F.col("__hot"), F.floor(F.col(US) / F.lit(cfg.hot_bucket_us)))
         gapped = log_gap_columns(flagged, cfg, bucket).drop("__hot")
     else:
@@ -274,13 +276,13 @@ def _impression_lags(df: DataFrame, bucket: Column | None, cfg: FeatureConfig) -
         p, n = F.col(prev_name(US, k)), F.col(next_name(US, k))
         near_p = F.col(US) if k == 1 else F.col(prev_name(US, k - 1))
         near_n = F.col(US) if k == 1 else F.col(next_name(US, k - 1))
-        back, fwd = near_p - p, n - near_n
-        cols[f"__d{k}"] = back - fwd
+        back, fwd = step_gap(near_p, p), step_gap(near_n, n, backward=False)
+        cols[f"__d{k}"] = second_difference(back, fwd)
         cols[f"user_prev_time{sfx}"] = _sec(p)
         cols[f"user_next_time{sfx}"] = _sec(n)
         cols[f"user_time_diffprev{sfx}"] = _sec(back)
         cols[f"user_time_diffnext{sfx}"] = _sec(fwd)
-        cols[f"user_time_diff{k}"] = _sec(back - fwd)
+        cols[f"user_time_diff{k}"] = _sec(second_difference(back, fwd))
     for c, base in COUNT_LAG_BASES.items():
         p1, p2 = F.col(prev_name(c, 1)), F.col(prev_name(c, 2))
         n1, n2 = F.col(next_name(c, 1)), F.col(next_name(c, 2))
@@ -359,17 +361,24 @@ def _impression_positions(df: DataFrame, bucket: Column | None) -> DataFrame:
     return df.withColumns(shares).drop(*drop)
 
 
-def _join_log(df: DataFrame, log: LogTables, small: bool) -> DataFrame:
-    """Log tables onto impressions; right keys renamed first."""
-    user = F.broadcast(log.user) if small else log.user
-    df = join_back(df, user, [U])
-    df = join_back(df, log.user_date, [U, DATE], [U, "server_time_date"])
-    df = join_back(df, log.user_dow, [U, DOW], [U, "server_timeDayofweek"])
-    df = join_back(df, log.user_hour, [U, HOUR], [U, "server_timeHour"])
+def _join_log(df: DataFrame, log: LogTables, hot: HotSplit | None) -> DataFrame:
+    """Log tables onto impressions; right keys renamed first.
+
+    On the hot path (``hot`` given) the tables are cut to the hot users
+    first.  The user table then has at most one row per hot user and the
+    others at most a week's, a day's or the log's days of rows for each, and
+    they are broadcast only when counted small."""
+    tables = [(log.user, [U], [U]), (log.user_date, [U, DATE], [U, "server_time_date"]),
+              (log.user_dow, [U, DOW], [U, "server_timeDayofweek"]), (log.user_hour, [U, HOUR], [U, "server_timeHour"])]
+    for table, left, right in tables:
+        if hot is not None:
+            table = table.join(F.broadcast(hot.keys) if hot.small else hot.keys, U, "left_semi")
+            table = _checked_broadcast(table, MAX_HOT_TABLE_ROWS)
+        df = join_back(df, table, left, right)
     return df
 
 
-def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool, cfg: FeatureConfig,
+def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: HotSplit | None, cfg: FeatureConfig,
                 held: list[DataFrame]) -> DataFrame:
     """Features of one path.  ``df`` is read by every count branch and the
     lagged frame by every statistics branch, so both are persisted (the
@@ -382,8 +391,8 @@ def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: bool,
     placed = _impression_positions(counted, bucket)
     lagged = _filled(_impression_lags(placed, bucket, cfg).persist())
     held.append(lagged)
-    summed = _impression_aggregates(lagged, small_user_tables=hot)
-    joined = _join_log(summed, log, small=hot)
+    summed = _impression_aggregates(lagged, small_user_tables=hot is not None)
+    joined = _join_log(summed, log, hot)
     return joined.drop(*[f"__d{k}" for k in range(1, cfg.time_lags + 1)])
 
 
@@ -423,20 +432,26 @@ def _finish_row(df: DataFrame) -> DataFrame:
 def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """Every base feature of every impression (train and test).
 
-    ``imps`` is ``prepare_impressions(...)``; the result keeps its rows
-    (all joins are left joins on unique keys).
+    ``imps`` is ``prepare_impressions(...)``, lineage-cut by the caller (it is
+    read by several branches); the result keeps its rows (all joins are left
+    joins on unique keys).
     """
-    imps = cut_lineage(imps)
     held: list[DataFrame] = []
     per_app, per_os = _global_tables(imps, held)
     split = split_hot(imps, [U], cfg.hot_rows)
     held.append(split.keys)
     normal = split.normal.repartition(U)
-    parts = [_user_block(normal, log, None, False, cfg, held)]
+    parts = [_user_block(normal, log, None, None, cfg, held)]
     if split.n_hot:
         bucket = (F.lit(1) - F.col(TRAIN)) * F.lit(1 << 40) + F.floor(F.col(US) / F.lit(cfg.hot_bucket_us))
-        parts.append(_user_block(split.hot, log, bucket, True, cfg, held))
-    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts.append(_user_block(split.hot, log, bucket, split, cfg, held))
+    # rows without a user are in no group: every per-user feature is NULL
+    known = set(split.unkeyed.columns)
+    parts.append(split.unkeyed.select(*[F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)
+                                        for f in parts[0].schema.fields]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     out = out.join(per_app, APP, "left").join(per_os, OS, "left")
     result = write_table(_finish_row(out).drop(US), "features")
     for frame in held:
@@ -450,8 +465,4 @@ def build_features(
     """Sources to the full base-feature table (entry point E1)."""
     log = prepare_log(join_items(view_log, items), cfg)
     tables = log_features(log, cfg)
-    return impression_features(prepare_impressions(impressions), tables, cfg)
-
-
-def select_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.select(*[n for n in names if n in df.columns])
+    return impression_features(cut_lineage(prepare_impressions(impressions)), tables, cfg)

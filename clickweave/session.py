@@ -20,7 +20,6 @@ ENGINE_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # feature rows are wide (~400 columns): keep whole-stage codegen for them
     "spark.sql.codegen.maxFields": "2000",
@@ -32,12 +31,11 @@ ENGINE_DEFAULTS = {
 def configure(spark: SparkSession) -> SparkSession:
     """Apply ``ENGINE_DEFAULTS`` where the session does not set them.
 
-    ``spark.sql.requireAllClusterKeysForCoPartition`` and the time zone are
-    forced: the first is what makes the per-user layout shuffle-free, the
-    second keeps date parts of ``TIMESTAMP`` inputs stable (the bindings use
-    zone-free ``TIMESTAMP_NTZ``, where it has no effect).
+    ``spark.sql.requireAllClusterKeysForCoPartition`` is forced: it is what
+    makes the per-user layout shuffle-free.  The session's time zone is left
+    alone; the tables hold zone-free ``TIMESTAMP_NTZ``.
     """
-    forced = {"spark.sql.requireAllClusterKeysForCoPartition", "spark.sql.session.timeZone"}
+    forced = {"spark.sql.requireAllClusterKeysForCoPartition"}
     for key, value in ENGINE_DEFAULTS.items():
         if key in forced or spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
@@ -52,6 +50,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.session.timeZone", "UTC")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -59,19 +58,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for stage tables and checkpoints.
 
-    On a cluster this is set by the deployment (a shared file system); a local
-    session without it gets a folder under ``/tmp`` (tests only).
+    ``spark.checkpoint.dir`` of the session, else of the application, else the
+    folder given to ``SparkContext.setCheckpointDir``.  Only a local session
+    may do without: it gets a folder under ``/tmp`` (tests).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
+    root = root or context.getCheckpointDir()
     if not root:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = "/tmp/clickweave-checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root
 
 

@@ -479,10 +479,20 @@ def q_enc(kind: str, part: str):
     return lambda: _enc_query(kind, part)
 
 
-def q_enc_batch() -> str:
-    key_sets = [["app_code"], ["user_id", "app_code"], ["user_id", "item_id", "product_type"]]
-    ctes = [*_mode_ctes(), "impm as (select imp.*, m0.item_id, m5.product_type from imp "
-            "left join m0 on imp.user_id = m0.user_id left join m5 on imp.user_id = m5.user_id)"]
+#: Key sets of the encoder batch, by query.
+ENC_BATCHES = {
+    "enc_batch": [["app_code"], ["user_id", "app_code"], ["user_id", "item_id", "product_type"]],
+    "enc_batch_time": [["impression_timeHour"], ["impression_timeDayofweek"], ["os_version"], ["app_code", "impression_timeHour"],
+                       ["os_version", "app_code"]],
+    "enc_batch_items": [["item_price"], ["item_id"], ["user_id", "item_price"], ["user_id", "item_id"], ["product_type"]],
+    "enc_batch_categories": [["category_3", "server_timeDay"], ["category_3"], ["category_2"]],
+}
+
+
+def q_enc_batch(key_sets: list[list[str]]) -> str:
+    joined = [(i, name) for i, (_, name) in enumerate(MODE_COLS)]
+    ctes = [*_mode_ctes(), f"impm as (select imp.*, {', '.join(f'm{i}.{n}' for i, n in joined)} from imp "
+            + " ".join(f"left join m{i} on imp.user_id = m{i}.user_id" for i, _ in joined) + ")"]
     cols = []
     joins = []
     for i, keys in enumerate(key_sets):
@@ -514,6 +524,19 @@ def q_timeseries_split() -> str:
     from folds f join imp t on t.train_set = 1 group by f.d"""
 
 
+def q_timeseries_split_gaps() -> str:
+    """The fold list of A with days before and after all rows, and one listed day without rows."""
+    return q_timeseries_split().replace("from folds f join imp t on t.train_set = 1 group by f.d", """from (
+      select d from folds union all select date '2023-12-30' union all select date '2030-01-01') f
+    join (select * from imp where impression_date <> date '2024-01-05') t on t.train_set = 1 group by f.d""")
+
+
+def q_kfold_assign() -> str:
+    return _with(IMP) + """select impression_id, is_click, cast((row_number() over (partition by is_click
+      order by md5('42:' || cast(impression_id as varchar)), impression_id) - 1) % 5 as int) as fold
+    from imp where train_set = 1"""
+
+
 AUC_CTES = [
     "sc as (select r.impression_date as fold, r.is_click as y, e.e_mean as s from tr r join enc_tr e "
     "on e.impression_id = r.impression_id)",
@@ -584,9 +607,11 @@ QUERIES = {
     "enc_count_test": q_enc("count", "te"),
     "enc_sum_train": q_enc("sum", "tr"),
     "enc_sum_test": q_enc("sum", "te"),
-    "enc_batch": q_enc_batch,
+    **{name: (lambda keys=keys: q_enc_batch(keys)) for name, keys in ENC_BATCHES.items()},
     "fold_sizes": q_fold_sizes,
     "timeseries_split": q_timeseries_split,
+    "timeseries_split_gaps": q_timeseries_split_gaps,
+    "kfold_assign": q_kfold_assign,
     "auc_exact": q_auc_exact,
     "fold_metrics": q_fold_metrics,
     "avg_fold_predictions": q_avg_fold_predictions,

@@ -124,3 +124,51 @@ def test_epoch_and_parts_ignore_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert before == after
     assert before[0][0] == 1541295000 * 10**6  # 2018-11-04 01:30:00 wall clock, no zone
+
+
+def test_modes_keep_each_value_in_its_own_type(spark):
+    from decimal import Decimal
+    rows = [(1, 2**53 + 1, Decimal("10.00"), "b"), (1, 2**53 + 1, Decimal("9.00"), "a"), (1, 2**53, None, None)]
+    df = spark.createDataFrame(rows, "u int, id bigint, price decimal(10,2), name string")
+    got = modes_table(df, ["u"], [("id", "id"), ("price", "price"), ("name", "name")]).collect()[0]
+    assert (got["id"], got["price"], got["name"]) == (2**53 + 1, Decimal("9.00"), "a")
+
+
+def test_bounded_distinct_counts_refuse_other_values(spark):
+    import pytest
+
+    from clickweave.operators.aggregates import count_distinct
+    ok = spark.createDataFrame([(1, 0), (1, 63), (1, 63), (1, None)], "u int, v int")
+    assert ok.groupBy("u").agg(count_distinct("v", "n", bounded=True)).collect()[0]["n"] == 2
+    for bad in (64, -1):
+        rows = spark.createDataFrame([(1, 5), (1, bad)], "u int, v int")
+        with pytest.raises(Exception, match="outside 0..63"):
+            rows.groupBy("u").agg(count_distinct("v", "n", bounded=True)).collect()
+
+
+def test_time_series_split_with_empty_folds(spark):
+    from clickweave.operators.folds import fold_table, timeseries_split_sizes
+    train = spark.createDataFrame([(1, 1), (3, 0), (3, 1)], "f int, y int")
+    got = {r["f"]: tuple(r)[1:] for r in timeseries_split_sizes(train, "f", "y", fold_table(spark, [1, 2, 3, 9], "int", "f")).collect()}
+    assert got == {1: (1, 1, 0, 0), 2: (0, 0, 1, 1), 3: (2, 1, 1, 1), 9: (0, 0, 3, 2)}
+
+
+def test_rows_without_a_user_are_split_off_and_long_hot_lists_joined(spark):
+    from clickweave.operators.skew import split_hot
+    rows = [(None, i) for i in range(500)] + [(i % 5, i) for i in range(500)]
+    df = spark.createDataFrame(rows, "u int, x int")
+    for limit in (100, 1):
+        s = split_hot(df, ["u"], threshold=50, max_hot_keys=limit)
+        assert (s.n_hot, s.small) == (5, limit == 100)
+        assert (s.normal.count(), s.hot.count(), s.unkeyed.count()) == (0, 500, 500)
+
+
+def test_folds_are_dealt_within_each_label(spark):
+    from collections import Counter
+
+    from clickweave.operators.folds import kfold_assign
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(300)], "id int, y int")
+    got = Counter((r["y"], r["fold"]) for r in kfold_assign(df, "id", 3, label="y").collect())
+    for y in (None, 0, 1):
+        sizes = [got[y, f] for f in range(3)]
+        assert max(sizes) - min(sizes) <= 1 and sum(sizes) > 0

@@ -37,7 +37,7 @@ def test_user_block_shuffles_once_by_user(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         log = fp.log_features(fp.prepare_log(fp.join_items(v["a_view_log"], v["a_item_data"]), cfg), cfg)
-        block = fp._user_block(imps.repartition("user_id"), log, None, False, cfg, held)
+        block = fp._user_block(imps.repartition("user_id"), log, None, None, cfg, held)
         plan = block._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
