@@ -332,3 +332,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = keyed.join(once, "key", "left").select("doc_id", "text", "once")
     out = joined.mapInArrow(_remove(path, window, bits, with_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return out if with_text else out.drop("kept")
+
+
+ORACLE_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), starts AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - {WINDOW} + 2)) AS i FROM w WHERE len(ws) >= {WINDOW}
+), found AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(ws[i:i + {WINDOW - 1}], ' ')) AS c FROM starts
+), gone AS (
+  SELECT doc_id, list(DISTINCT p) AS ps FROM (SELECT doc_id, unnest(range(i, i + {WINDOW})) AS p FROM found WHERE c > 1) GROUP BY doc_id
+), places AS (
+  SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w
+), kept AS (
+  SELECT places.doc_id, string_agg(word, ' ' ORDER BY places.p) AS t
+  FROM places ANTI JOIN (SELECT doc_id, unnest(ps) AS p FROM gone) g ON g.doc_id = places.doc_id AND g.p = places.p GROUP BY places.doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(len(ps), 0)::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
