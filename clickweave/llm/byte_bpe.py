@@ -33,10 +33,10 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import arrow_map, batch
 
 #: Pieces kept per Python worker; beyond it the store starts again (memory bound, not a limit on pieces).
-STORED_PIECES = 600_000
+STORED_PIECES = 400_000
 #: Tables of piece beginnings of these lengths are kept as well, up to so many.
 SHARED_PREFIXES = (12, 8, 4)
-STORED_TABLES = 200_000
+STORED_TABLES = 100_000
 
 
 class ByteBPE:

@@ -191,21 +191,22 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = np.sort(np.array([r.feature for r in chosen.orderBy(F.desc("s"), "feature").limit(MAX_FEATURES).select("feature").collect()], np.int64).view(np.uint64))
 
     def selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("at", pa.list_(pa.int32()))])
+        schema = pa.schema([("id", pa.int64()), ("at", pa.binary())])
         for b in batches:
-            hits = [np.flatnonzero(np.isin(known, np.asarray(f, np.int64).view(np.uint64))) for f in b.column(1).to_pylist()]
-            yield batch(schema, [b.column(0), [h.astype(np.int32) for h in hits]])
+            flat, cut = np.asarray(b.column(1).flatten()).view(np.uint64), np.asarray(b.column(1).value_lengths()).cumsum()[:-1]
+            hits = [np.flatnonzero(np.isin(known, f)) for f in np.split(flat, cut)] if b.num_rows else []
+            yield batch(schema, [b.column(0), [h.astype(np.int32).tobytes() for h in hits]])
 
     # at most max_labelled rows of a document's selected features (repeated ids: each row counts)
-    got = sorted((r.id, r.at) for r in rows.mapInArrow(selected, "id long, at array<int>").collect())
+    got = sorted((r.id, r.at) for r in rows.mapInArrow(selected, "id long, at binary").collect())
     of = {r.id: (r.toxic, r.low) for r in sample}
     weight = np.zeros((2, len(known)))
     for m in range(2):
         use = [(of[i][m], at) for i, at in got if of[i][m] is not None]
         y = np.array([v for v, _ in use], float)
         if len(known) and 0 < y.sum() < len(y):
-            r = np.repeat(np.arange(len(use)), [len(at) for _, at in use])
-            weight[m], base[m] = fit_logistic(r, np.concatenate([np.array(at, np.int64) for _, at in use]), y, len(known))
+            r = np.repeat(np.arange(len(use)), [len(at) // 4 for _, at in use])
+            weight[m], base[m] = fit_logistic(r, np.frombuffer(b"".join(at for _, at in use), np.int32), y, len(known))
     used = np.abs(weight).sum(0) > 0
     return Model(known[used], weight[:, used], base)
 
