@@ -7,19 +7,21 @@ the representatives: a node picks one or two coordinates (4/3 on average, the
 inverse of the similarity) from its own random choice, and its members go to
 the child named by (coordinate, minwise token), so similar sets stay together.
 
-Nodes of up to ``LEAF`` members are compared exhaustively, on 8 bits of each
-coordinate.  A larger node first compares everyone with a few pivots; members
-that surely belong to one pivot's group need no comparison among themselves.
-It branches further while it holds members of different groups, and the few
-nodes left at ``DEPTH`` are compared exhaustively in blocks.  Nodes of up to
-``TASK_MEMBERS`` members do this inside one task; larger ones are branched by
-Spark, level by level, with the same rule, so no node has to fit in a task.
-
-The estimate only proposes pairs (from 5 standard deviations below the
-threshold on).  Every proposed pair is confirmed on the full shingle sets;
-components of confirmed links are the result.  Recall: a pair at the
-threshold shares a leaf of one branching with probability 3/4; 12 trees with
-16 first branchings miss it with probability below 1e-8, before deeper nodes.
+Two rounds use the nodes.  First every member is set against the most central
+member of its node (the one closest to the node's most frequent tokens); each
+document's best such pair is confirmed on the full shingle sets, which joins
+most groups of copies with one pair per document.  Then nodes that still hold
+members of different components are searched whole: up to ``LEAF`` members
+exhaustively, on 8 bits of each coordinate; larger ones against a few central
+pivots, then branched further, and the few left at ``DEPTH`` exhaustively.
+Only pairs across components are proposed, and all of them are confirmed.
+Nodes of up to ``TASK_MEMBERS`` members do this inside one task; larger ones
+are branched by Spark, level by level, so no node has to fit in a task.
+
+The estimate only proposes pairs (from over 4 standard deviations below the
+threshold on); components of confirmed links are the result.  Recall: a pair
+at the threshold shares a branching of a tree with probability 3/4 or more;
+12 trees with 16 first branchings miss it with probability below 1e-8.
 
 Defined results: a text without words, empty or null, has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle; a
@@ -150,11 +152,28 @@ class Groups:
         self.up[roots] = roots[0]
 
 
-def compare_node(node: int, ids: np.ndarray, sketch: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Proposed pairs (id, id) of one node; ``sketch`` has 8 bits of each coordinate."""
-    order = np.argsort(ids, kind="stable")
+def centrality(sketch: np.ndarray) -> np.ndarray:
+    """Share of coordinates in which a member has the node's most frequent token."""
+    common = np.array([np.bincount(c, minlength=256).argmax() for c in sketch.T], np.uint8)
+    return (sketch == common).mean(1)
+
+
+def star(ids: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id, central id, estimate) for the members similar to the most central one."""
+    middle = np.lexsort((ids, -centrality(sketch)))[0]
+    alike = (sketch == sketch[middle]).mean(1)
+    near = np.flatnonzero((alike >= PROPOSED) & (ids != ids[middle]))
+    return ids[near], np.full(len(near), ids[middle]), alike[near]
+
+
+def compare_node(node: int, ids: np.ndarray, sketch: np.ndarray, component: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Proposed pairs (id, id) of one node, across components; ``sketch`` has 8 bits of each coordinate."""
+    order = np.lexsort((ids, -centrality(sketch)))
     ids, sketch = ids[order], sketch[order]
     groups, pairs = Groups(len(ids)), []
+    if component is not None:
+        _, first, inverse = np.unique(component[order], return_index=True, return_inverse=True)
+        groups.up = first[inverse]
 
     def against(i: int, others: np.ndarray) -> np.ndarray:
         """Propose i with others of other groups; returns who is surely in its group."""
@@ -203,35 +222,37 @@ def compare_node(node: int, ids: np.ndarray, sketch: np.ndarray) -> list[tuple[n
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _pairs_of(found: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    a = np.concatenate([x for x, _ in found])
-    b = np.concatenate([y for _, y in found])
-    return batch(_PAIRS, [np.minimum(a, b), np.maximum(a, b)])
+def _by_node(search, schema: pa.Schema):
+    """Rows (node, id, component, sketch) in order of node; ``search`` gives the columns of a node's result."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple[np.ndarray, ...] | None = None
 
+        def flush(nodes, ids, component, sketch):
+            border = np.flatnonzero(np.diff(nodes)) + 1
+            found = []
+            for i, j in zip([0, *border.tolist()], [*border.tolist(), len(nodes)], strict=True):
+                if j - i > 1:
+                    found += search(int(nodes[i:i + 1].view(np.uint64)[0]), ids[i:j], component[i:j], sketch[i:j])
+            if found:
+                yield batch(schema, [np.concatenate(x) for x in zip(*found, strict=True)])
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (node, id, sketch) in order of node."""
-    held: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
+        for b in batches:
+            now = (*(np.asarray(b.column(i)) for i in range(3)),
+                   np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, COORDINATES))
+            held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
+            last = int(np.searchsorted(held[0], held[0][-1]))  # the last node may go on in the next batch
+            if last:
+                yield from flush(*(x[:last] for x in held))
+                held = tuple(x[last:] for x in held)
+        if held is not None:
+            yield from flush(*held)
+    return run
 
-    def flush(nodes, ids, sketch):
-        border = np.flatnonzero(np.diff(nodes)) + 1
-        found = []
-        for i, j in zip([0, *border.tolist()], [*border.tolist(), len(nodes)], strict=True):
-            if j - i > 1:
-                found += compare_node(int(nodes[i:i + 1].view(np.uint64)[0]), ids[i:j], sketch[i:j])
-        if found:
-            yield _pairs_of(found)
 
-    for b in batches:
-        now = (np.asarray(b.column(0)), np.asarray(b.column(1)),
-               np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint8).reshape(-1, COORDINATES))
-        held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
-        last = int(np.searchsorted(held[0], held[0][-1]))  # the last node may go on in the next batch
-        if last:
-            yield from flush(*(x[:last] for x in held))
-            held = tuple(x[last:] for x in held)
-    if held is not None:
-        yield from flush(*held)
+_STARS = pa.schema([("id", pa.int64()), ("middle", pa.int64()), ("alike", pa.float64())])
+_star_search = _by_node(lambda node, ids, component, sketch: [star(ids, sketch)], _STARS)
+_full_search = _by_node(lambda node, ids, component, sketch: [
+    (np.minimum(a, b), np.maximum(a, b)) for a, b in compare_node(node, ids, sketch, component)], _PAIRS)
 
 
 def _first_nodes(trees: int):
@@ -249,40 +270,38 @@ def _first_nodes(trees: int):
 def _branch(depth: int):
     """Rows (node, id, sig, pivot, pivot_sig) of large nodes to their children, and pairs with the pivot."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("pivot", pa.int64()), ("open", pa.bool_())])
+        schema = pa.schema([("node", pa.int64()), ("id", pa.int64()), ("pivot", pa.int64()), ("alike", pa.float64())])
         for b in batches:
             nodes, ids, pivots = (np.asarray(b.column(i)) for i in (0, 1, 3))
             sig, psig = (np.frombuffer(b"".join(b.column(i).to_pylist()), np.uint32).reshape(-1, COORDINATES) for i in (2, 4))
             alike = (sig.astype(np.uint8) == psig.astype(np.uint8)).mean(1)
             near = (alike >= PROPOSED) & (ids != pivots)
-            out = [(np.zeros(near.sum(), np.int64), ids[near], pivots[near], np.zeros(near.sum(), bool))]
+            out = [(np.zeros(near.sum(), np.int64), ids[near], pivots[near], alike[near])]
             for node in np.unique(nodes).tolist():
                 here = np.flatnonzero(nodes == node)
                 for c in choices(node & 0xFFFFFFFFFFFFFFFF, depth):
                     kids = child_nodes(node & 0xFFFFFFFFFFFFFFFF, c, sig[here, c]).view(np.int64)
-                    out.append((kids, ids[here], np.full(len(here), -1), alike[here] < SURE))
+                    out.append((kids, ids[here], None, alike[here]))
             for o in out:
                 if len(o[0]):
-                    pivot = pa.array(o[2], pa.int64(), mask=o[2] == -1) if (o[2] == -1).all() else o[2]
-                    yield batch(schema, [o[0], o[1], pivot, o[3]])
+                    yield batch(schema, [o[0], o[1], pa.nulls(len(o[0]), pa.int64()) if o[2] is None else o[2], o[3]])
     return run
 
 
-def propose(classes: DataFrame, trees: int = TREES, task_members: int = TASK_MEMBERS) -> DataFrame:
-    """Pairs (a, b), a < b, of representatives that may be similar.  ``classes``: rep, sig."""
+def tree_nodes(classes: DataFrame, trees: int = TREES, task_members: int = TASK_MEMBERS) -> tuple[DataFrame | None, list[DataFrame]]:
+    """Members (node, id) of the nodes of 2 to ``task_members``, and for each level of larger ones
+    the pairs (id, middle, alike) with the node's smallest id."""
     sigs = classes.select("rep", "sig")
-    sketches = written(sigs.mapInArrow(_cut_sketch, "rep long, sketch binary"), "near-sketches")
-    rows = sigs.mapInArrow(_first_nodes(trees), "node long, id long").withColumn("open", F.lit(True))
-    found, depth = [], 1
+    rows = sigs.mapInArrow(_first_nodes(trees), "node long, id long").withColumn("alike", F.lit(0.0))
+    nodes, stars, depth = [], [], 1
     while True:
-        sizes = written(rows.groupBy("node").agg(F.count("*").alias("c"), F.min("id").alias("pivot"), F.max("open").alias("open"))
-                        .filter("c > 1 AND open").select("node", "c", "pivot"), "near-nodes")
+        # a child of a large node needs no search where all its members surely belong to the pivot's group
+        sizes = written(rows.groupBy("node").agg(F.count("*").alias("c"), F.min("id").alias("pivot"), F.min("alike").alias("least"))
+                        .filter((F.col("c") > 1) & (F.col("least") < SURE)).select("node", "c", "pivot"), "near-nodes")
         if sizes.isEmpty():
             break
-        small = rows.join(sizes.filter(F.col("c") <= task_members).select(F.col("node"), F.col("c")), "node").select("node", "id", "c")
-        with_sketch = small.join(sketches.withColumnRenamed("rep", "id"), "id")
-        found.append(written(with_sketch.select("node", "id", "sketch").repartition("node").sortWithinPartitions("node")
-                             .mapInArrow(_compare, "a long, b long").distinct(), "near-pairs"))
+        small = sizes.filter(F.col("c") <= task_members).select("node")
+        nodes.append(written(rows.select("node", "id").join(small, "node"), "near-members"))
         large = sizes.filter(F.col("c") > task_members)
         if large.isEmpty():
             break
@@ -290,20 +309,53 @@ def propose(classes: DataFrame, trees: int = TREES, task_members: int = TASK_MEM
         heads = written(large.join(sigs.withColumnRenamed("rep", "pivot").withColumnRenamed("sig", "pivot_sig"), "pivot"), "near-large")
         members = rows.select("node", "id").join(F.broadcast(heads.select("node", "pivot", "pivot_sig")), "node")
         members = members.join(sigs.withColumnRenamed("rep", "id"), "id").select("node", "id", "sig", "pivot", "pivot_sig")
-        branched = written(members.mapInArrow(_branch(depth), "node long, id long, pivot long, open boolean"), "near-branch")
-        found.append(branched.filter("pivot IS NOT NULL").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")))
-        rows = branched.filter("pivot IS NULL").select("node", "id", "open")
+        branched = written(members.mapInArrow(_branch(depth), "node long, id long, pivot long, alike double"), "near-branch")
+        stars.append(branched.filter("pivot IS NOT NULL").select("id", F.col("pivot").alias("middle"), "alike"))
+        rows = branched.filter("pivot IS NULL").select("node", "id", "alike")
         depth += 1
-    if not found:
-        return classes.sparkSession.createDataFrame([], "a long, b long")
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out.distinct()
+    out = None
+    for n in nodes:
+        out = n if out is None else out.unionByName(n)
+    return out, stars
+
+
+def links(classes: DataFrame, docs: DataFrame, trees: int = TREES, task_members: int = TASK_MEMBERS) -> DataFrame:
+    """Confirmed pairs (a, b) of representatives that connect all similar ones."""
+    none = classes.sparkSession.createDataFrame([], "a long, b long")
+    members, stars = tree_nodes(classes, trees, task_members)
+    if members is None:
+        return none
+    sketches = written(classes.select("rep", "sig").mapInArrow(_cut_sketch, "id long, sketch binary"), "near-sketches")
+
+    def search(rows: DataFrame, how, schema: str) -> DataFrame:
+        rows = rows.join(sketches, "id").select("node", "id", "component", "sketch")
+        return rows.repartition("node").sortWithinPartitions("node").mapInArrow(how, schema)
+
+    found = search(members.withColumn("component", F.col("id")), _star_search, "id long, middle long, alike double")
+    for more in stars:
+        found = found.unionByName(more)
+    best = found.groupBy("id").agg(F.max(F.struct("alike", (-F.col("middle")).alias("m"))).alias("best")).select(
+        "id", (-F.col("best.m")).alias("middle"))
+    first = written(confirm(best.select(F.least("id", "middle").alias("a"), F.greatest("id", "middle").alias("b")).distinct(), docs), "near-first")
+
+    known = written(components(first), "near-known")
+    labelled = members.join(known, members["id"] == known["node"], "left").select(
+        members["node"], "id", F.coalesce("component", "id").alias("component"))
+    labelled = written(labelled, "near-labelled")
+    mixed = labelled.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("node")
+    rest = labelled.join(written(mixed, "near-mixed"), "node")
+    pairs = search(rest, _full_search, "a long, b long").distinct()
+    more = found.select(F.least("id", "middle").alias("a"), F.greatest("id", "middle").alias("b"))
+    if stars:  # pairs with the pivots of large nodes, where they still are across components
+        ends = known.select("node", "component")
+        more = more.join(ends.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
+            ends.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
+        pairs = pairs.unionByName(more.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")).distinct()
+    return first.unionByName(confirm(pairs, docs))
 
 
 def _cut_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("rep", pa.int64()), ("sketch", pa.binary())])
+    schema = pa.schema([("id", pa.int64()), ("sketch", pa.binary())])
     for b in batches:
         sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES).astype(np.uint8)
         yield batch(schema, [b.column(0), [x.tobytes() for x in sig]])
@@ -368,15 +420,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sets = written(docs.mapInArrow(_sets, "doc_id long, n_shingles long, digest binary, sig binary"), "near-sets")
     real = sets.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = written(real.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")), "near-classes")
-    links = confirm(propose(classes, trees, task_members), docs)
+    pairs = links(classes, docs, trees, task_members)
     # rows of one id with different texts join the classes of these texts
     same_id = real.select("doc_id", "digest").join(classes.select("digest", "rep"), "digest").filter("doc_id <> rep")
     shared = same_id.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"), "digest")
     repeated = real.groupBy("doc_id").agg(F.countDistinct("digest").alias("c")).filter("c > 1").select(F.col("doc_id").alias("a"))
-    links = links.unionByName(shared.join(repeated, "a", "left_semi").select("a", "b"))
-    found = components(links)
+    pairs = pairs.unionByName(shared.join(repeated, "a", "left_semi").select("a", "b"))
+    found = components(pairs)
     named = written(classes.select("digest", "rep").join(found, classes["rep"] == found["node"], "left")
                     .select("digest", F.coalesce("component", "rep").alias("component")), "near-components")
     out = sets.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 4], ' ')) AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)) AS i FROM w)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach(a, b) AS (
+  SELECT doc_id, doc_id FROM w UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(b) AS component_id, w.doc_id = min(b) AS kept
+FROM w LEFT JOIN sizes USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, n
+"""

@@ -83,4 +83,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op3_exact_dedup": exact_dedup.ORACLE_SQL,
     "op5_pfair_mix": mixing.ORACLE_SQL,
+    "op6_window_dedup": substring_dedup.ORACLE_SQL,
+    "op9_chosen_path": near_dedup.ORACLE_SQL,
 }
