@@ -2,9 +2,8 @@
 
 Every line of every text is a term vector (lower-cased letter and digit runs,
 weight tf * idf).  idf = ln((1 + N) / (1 + df)) + 1 over all non-blank lines,
-for the terms of the templates; other terms weigh as if never seen.  A line
-states the license of the template with the largest cosine, if that is at
-least ``THRESHOLD``.
+for every term.  A line states the license of the template with the largest
+cosine, if that is at least ``THRESHOLD``.
 
 Only lines that hold a deciding term are compared: for each template the
 fewest rarest terms such that the rest of it is shorter than THRESHOLD times
@@ -22,9 +21,11 @@ rows repeated under one path are one file with the lines of all; ties go to
 the license that sorts first; an empty table gives an empty result; other
 columns are not read.
 
-Scale: the texts stay where they are; candidate lines, directories and narrow
-file rows are shuffled.  Directories are expanded to ancestors once per
-directory, not per file.
+Scale: the texts stay where they are; the lines of every term are counted by
+a grouped count (one row per term and task is shuffled), cut to the terms of
+candidate lines; candidate lines, directories and narrow file rows are
+shuffled.  Directories are expanded to ancestors once per directory, not per
+file.
 """
 
 from __future__ import annotations
@@ -56,6 +57,8 @@ TEMPLATES = (
 )
 #: Rows of a directory table that are broadcast at most.
 BROADCAST_DIRECTORIES = 100_000
+#: Terms of candidate lines that are broadcast with their weights at most.
+BROADCAST_TERMS = 100_000
 
 
 def template_terms(text: str) -> list[str]:
@@ -90,14 +93,12 @@ def scan(files: DataFrame, path: Column, text_col: str = "text", id_col: str = "
 
     counted = [Counter(template_terms(t)) for _, t in templates]
     vocabulary = sorted(set().union(*counted))
-    words = F.array(*[F.lit(t) for t in vocabulary])
     each = rows.select(F.explode(lines).alias("line"))
-    df = each.select(F.array_intersect(_terms(F.col("line")), words).alias("hit")).select(
-        F.explode(F.concat(F.array(F.lit("")), "hit")).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
-    seen = {r.term: r.df for r in df.collect()}  # one row per template term, and "" for all lines
+    df = written(each.select(F.explode(F.array_distinct(F.concat(F.array(F.lit("")), _terms(F.col("line"))))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("df")), "license-df")
+    seen = {r.term: r.df for r in df.filter(F.col("term").isin(["", *vocabulary])).collect()}  # one row per template term, and "" for all lines
     n = seen.get("", 0)
     idf = {t: math.log((1 + n) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
-    unseen = math.log(1 + n) + 1
     raw = [{t: c * idf[t] for t, c in count.items()} for count in counted]
     unit = [{t: w / math.sqrt(sum(x * x for x in v.values())) for t, w in v.items()} for v in raw]
 
@@ -106,12 +107,13 @@ def scan(files: DataFrame, path: Column, text_col: str = "text", id_col: str = "
         "terms", _terms(F.col("line"))).filter(F.arrays_overlap("terms", deciding))
     candidates = written(candidates.select("path", "n_lines", "terms").withColumn("line_id", F.monotonically_increasing_id()), "license-lines")
 
-    weights = spark.createDataFrame([(t, idf[t]) for t in vocabulary], "term string, idf double")
     template = spark.createDataFrame([(name, i, t, w) for i, ((name, _), v) in enumerate(zip(templates, unit, strict=True)) for t, w in v.items()],
                                      "license string, template int, term string, w double")
-    tf = candidates.select("line_id", F.explode("terms").alias("term")).groupBy("line_id", "term").agg(F.count("*").alias("tf"))
-    tf = written(tf.join(F.broadcast(weights), "term", "left").select(
-        "line_id", "term", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("x")), "license-terms")
+    tf = written(candidates.select("line_id", F.explode("terms").alias("term")).groupBy("line_id", "term").agg(F.count("*").alias("tf")), "license-tf")
+    weights = written(df.join(tf.select("term").distinct(), "term", "left_semi").select(
+        "term", (F.log(F.lit(1.0 + n) / (F.col("df") + 1)) + 1).alias("idf")), "license-idf")
+    tf = written(tf.join(F.broadcast(weights) if weights.count() <= BROADCAST_TERMS else weights, "term").select(
+        "line_id", "term", (F.col("tf") * F.col("idf")).alias("x")), "license-terms")
     norm = tf.groupBy("line_id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dot = tf.join(F.broadcast(template), "term").groupBy("line_id", "license", "template").agg(F.sum(F.col("x") * F.col("w")).alias("dot"))
     cosine = dot.join(norm, "line_id").select("line_id", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= threshold)

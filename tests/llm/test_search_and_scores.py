@@ -221,6 +221,25 @@ def test_license_scan_of_awkward_rows(spark):
     assert licenses.scan(documents(spark, []), F.col("source")).count() == 0
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_ordinary_words_around_a_notice(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(licenses, "BROADCAST_TERMS", -1)
+    common = "that en it for with was one not all you".split()
+    notice = "released under the mit license"
+    files = [(f"n{k}/x.txt", " ".join([*common[:k // 2], notice, *common[k // 2:k]])) for k in (0, 5, 8, 10)]
+    files += [(f"o{i}/x.txt", " ".join(common) + f" w{i}") for i in range(300)]
+    files += [("rare/x.txt", notice + " q1 q2 q3 q4 q5 q6 q7 q8")]  # rare words still weigh
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id long, path string, text string")
+    got = {r.path: r for r in licenses.scan(df, F.col("path")).filter("license IS NOT NULL").collect()}
+    every = [set(t.split()) for _, t in files]
+    weigh = lambda x: math.log((1 + len(every)) / (1 + sum(x in t for t in every))) + 1
+    size = lambda t: math.sqrt(sum(weigh(x) ** 2 for x in t.split()))
+    assert set(got) == {"n0/x.txt", "n5/x.txt", "n8/x.txt", "n10/x.txt"}
+    for p, t in files[:4]:
+        assert got[p].license == "MIT" and abs(got[p].score - size(notice) / size(t)) < 1e-6
+
+
 def test_deciding_terms_bound_the_cosine():
     v = {"a": 0.8, "b": 0.5, "c": math.sqrt(1 - 0.64 - 0.25)}
     assert licenses.deciding_terms([v], 0.6) == {"a", "b"} and licenses.deciding_terms([v], 0.61) == {"a"}
