@@ -5,8 +5,14 @@ release time floor(i * Q / a) and deadline ceil((i + 1) * Q / a).  In every
 slot the released block with the earliest deadline runs (ties: heavier
 weight, then source order), so after any number of slots t each source has
 had its share t * a / Q up to less than one block.  The schedule repeats
-after Q slots; one period of Q slots is computed as a fold over an array and
-every block takes its slot from it by arithmetic.
+after Q slots; the shorter of one period and the mix is computed as a fold
+over an array and every block takes its slot from it by arithmetic.
+
+The integer weights are as fine as the mix is long (Q of about 2^40, less
+where block times Q would not fit 64 bits), so that they leave the given
+weights by a small part of a block over the whole mix.  With ``resolution``
+they are rounded to that many slots instead: the bound then holds for the
+rounded weights, and each weight above 0 has at least one slot of a period.
 
 A block is ``block_rows`` consecutive rows of a source's stream.  The stream
 of a source is its rows in a fixed pseudo-random order (digest of the id, id,
@@ -20,8 +26,10 @@ out and a source missing from the map is an error; null ids and repeated rows
 are rows like others; an empty table gives an empty result.
 
 Scale: rows are ranked inside (source, digest prefix) buckets, with running
-offsets from the bucket counts, so that no source meets in one task; the
-schedule has Q = O(resolution + 4 * sources) rows.
+offsets from the bucket counts, so that no source meets in one task.  The
+schedule is made slot by slot in one task, with one row per slot of the mix (a
+block of rows), or with ``resolution`` O(resolution + 4 * sources) rows; a mix
+of more than ``MAX_SLOTS`` slots is an error.
 """
 
 from __future__ import annotations
@@ -37,8 +45,12 @@ from clickweave.llm.common import written
 
 #: Exponent of the sizes in the default weights (1: as given; 0: all sources alike).
 ALPHA = 0.7
-#: Slots that weights are rounded to, where there are fewer sources than a quarter of it.
+#: Slots that weights are rounded to in ORACLE_SQL, where there are fewer sources than a quarter of it.
 RESOLUTION = 1024
+#: Largest number of slots where weights are not rounded to one, and the largest product of blocks and slots.
+FINEST, LARGEST = 1 << 40, 1 << 60
+#: Slots of the schedule made in one array, slots of a schedule at most, and slots that are broadcast at most.
+CHUNK, MAX_SLOTS, BROADCAST_SLOTS = 1024, 1 << 27, 100_000
 BLOCK_ROWS = 8
 #: Rows of one ranking bucket, about.
 BUCKET_ROWS = 4096
@@ -49,7 +61,8 @@ def _name(col: Column) -> Column:
     return F.when(col.isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), col.cast("string")))
 
 
-def source_weights(counts: DataFrame, weights: dict | None = None, alpha: float = ALPHA, resolution: int = RESOLUTION) -> DataFrame:
+def source_weights(counts: DataFrame, weights: dict | None = None, alpha: float = ALPHA, resolution: int | None = None,
+                   block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``source, n, a``: integer weights, at least 1 for each weight above 0."""
     if weights is None:
         w = F.pow(F.col("n").cast("double"), F.lit(float(alpha)))
@@ -58,19 +71,24 @@ def source_weights(counts: DataFrame, weights: dict | None = None, alpha: float
             F.lit("null" if k is None else f"={k}"), F.lit(float(v)))]) if weights else F.create_map().cast("map<string,double>")
         w = F.coalesce(F.element_at(given, F.col("source")), F.raise_error(F.concat(F.lit("no weight for source "), F.col("source"))).cast("double"))
     rows = counts.withColumn("w", w).filter("w > 0")
-    total = rows.agg(F.sum("w").alias("total"), F.greatest(F.lit(resolution), 4 * F.count("*")).alias("r"))
+    if resolution is None:  # as fine as the length of the mix allows
+        length = F.max(F.ceil(F.col("n") / block_rows) / F.col("w")) * F.sum("w") + F.count("*")
+        r = F.least(F.lit(float(FINEST)), F.floor(F.lit(float(LARGEST)) / length))
+    else:
+        r = F.greatest(F.lit(resolution), 4 * F.count("*"))
+    total = rows.agg(F.sum("w").alias("total"), r.alias("r"))
     return rows.join(F.broadcast(total)).select(
         "source", "n", F.greatest(F.lit(1), F.round(F.col("w") / F.col("total") * F.col("r"))).cast("long").alias("a"))
 
 
-def pfair_period(weights: DataFrame) -> DataFrame:
-    """One period of the schedule: ``source, a, q, j, slot`` for block j of a source within the period.
+def pfair_period(weights: DataFrame, slots: int | None = None) -> DataFrame:
+    """One period of the schedule, or its first ``slots`` slots: ``source, a, q, j, slot`` for block j of a source within the period.
 
     The fold's state holds, per source, the number of blocks run so far; each
     slot picks the smallest (deadline, -weight, index) among released blocks.
     """
     listed = weights.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "a"))).alias("s"), F.sum("a").alias("q"))
-    listed = listed.filter(F.col("q").isNotNull())
+    listed = listed.filter(F.col("q").isNotNull()).withColumn("m", F.col("q") if slots is None else F.least("q", F.lit(slots).cast("long")))
 
     def ceil_div(x: Column, y: Column) -> Column:
         return F.call_function("div", x + y - 1, y)
@@ -80,15 +98,20 @@ def pfair_period(weights: DataFrame) -> DataFrame:
             x["done"] * F.col("q") < (t + 1) * x["a"], F.struct(ceil_div((x["done"] + 1) * F.col("q"), x["a"]).alias("d"), (-x["a"]).alias("h"), x["i"].alias("i"))))
         pick = F.array_min(F.filter(keys, lambda k: k.isNotNull()))["i"]
         return F.struct(F.transform(acc["done"], lambda x, i: F.when(i == pick, x + 1).otherwise(x)).alias("done"),
-                        F.concat(acc["runs"], F.array(pick)).alias("runs"))
+                        F.concat(acc["runs"], F.array(F.struct(pick.alias("i"), F.get(acc["done"], pick).alias("j")))).alias("runs"))
+
+    def chunk(acc: Column, k: Column) -> Column:  # short arrays, since each slot copies what it appends to
+        none = F.array().cast("array<struct<i:int,j:bigint>>")
+        made = F.aggregate(F.sequence(k * CHUNK, F.least((k + 1) * CHUNK, F.col("m")) - 1),
+                           F.struct(acc["done"].alias("done"), none.alias("runs")), step)
+        return F.struct(made["done"].alias("done"), F.concat(acc["chunks"], F.array(made["runs"])).alias("chunks"))
 
-    state = F.struct(F.transform("s", lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<int>").alias("runs"))
+    state = F.struct(F.transform("s", lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<array<struct<i:int,j:bigint>>>").alias("chunks"))
     folded = listed.withColumn("a", F.transform("s", lambda x: x["a"])).withColumn(
-        "runs", F.aggregate(F.sequence(F.lit(0).cast("long"), F.col("q") - 1), state, step, lambda acc: acc["runs"]))
-    slots = folded.select("s", "q", F.posexplode("runs").alias("slot", "i"))
-    j = F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 1
-    return slots.select(F.expr("s[i].source").alias("source"), F.expr("s[i].a").alias("a"), "q",
-                        j.cast("long").alias("j"), F.col("slot").cast("long").alias("slot"))
+        "chunks", F.aggregate(F.sequence(F.lit(0).cast("long"), F.expr(f"(m - 1) div {CHUNK}")), state, chunk, lambda acc: acc["chunks"]))
+    runs = folded.select("s", "q", F.posexplode("chunks").alias("k", "runs")).select("s", "q", "k", F.posexplode("runs").alias("at", "run"))
+    return runs.select(F.expr("s[run.i].source").alias("source"), F.expr("s[run.i].a").alias("a"), "q",
+                       F.col("run.j").alias("j"), (F.col("k").cast("long") * CHUNK + F.col("at")).alias("slot"))
 
 
 def _places(docs: DataFrame, weights: dict | None, alpha: float, block_rows: int, source_col: str, id_col: str,
@@ -97,8 +120,14 @@ def _places(docs: DataFrame, weights: dict | None, alpha: float, block_rows: int
                        F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(0)]).alias("kept"))
     rows = rows.withColumn("source", _name(F.col("src"))).withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     counts = written(rows.groupBy("source").agg(F.count("*").alias("n")), "mix-counts")
-    w = written(source_weights(counts, weights, alpha, resolution), "mix-weights")
-    period = written(pfair_period(w), "mix-period")
+    w = written(source_weights(counts, weights, alpha, resolution, block_rows), "mix-weights")
+    # no source's last block runs behind its deadline
+    length = w.join(F.broadcast(w.agg(F.sum("a").alias("q")))).agg(
+        F.max(F.ceil(F.ceil(F.col("n") / block_rows) * (F.col("q") / F.col("a")))) + 1, F.max("q")).first()
+    slots = min(length[0] or 0, length[1] or 0)
+    if slots > MAX_SLOTS:
+        raise ValueError(f"the mix has {slots} slots of {block_rows} rows, more than {MAX_SLOTS}")
+    period = written(pfair_period(w, slots), "mix-period")
 
     # rank rows inside (source, digest prefix); prefixes of hexadecimal digits in the same order as the digests
     largest = counts.agg(F.max("n")).first()[0] or 1
@@ -120,11 +149,12 @@ def _places(docs: DataFrame, weights: dict | None, alpha: float, block_rows: int
         F.max(F.expr("end div q")).alias("whole"), F.sum(F.expr("CASE WHEN slot <= end % q THEN 1 ELSE 0 END")).alias("part"))
     spans = w.select("source", "n").join(held, "source").select(
         "source", "n", "a", "q", ((F.col("whole") * F.col("a") + F.col("part")) * b).alias("places"))
-    # both tables have one row per source or slot of the period: bounded by the number of sources
+    # one row per source, and one per slot of the period or the mix
+    at = period.select("source", "j", F.col("slot").alias("at"))
     placed = ranked.join(F.broadcast(written(spans, "mix-spans")), "source").filter("rank < places").withColumn(
         "epoch", F.explode(F.expr("sequence(0L, (places - 1 - rank) div n)")))
     placed = placed.withColumn("p", F.expr("rank + epoch * n")).withColumn("block", F.expr(f"p div {int(block_rows)}")).withColumn(
-        "j", F.expr("block % a")).join(F.broadcast(period.select("source", "j", F.col("slot").alias("at"))), ["source", "j"])
+        "j", F.expr("block % a")).join(F.broadcast(at) if slots <= BROADCAST_SLOTS else at, ["source", "j"])
     slot = F.expr("(block div a) * q + at")
     out = placed.withColumn("slot", slot)
     return out.select("doc_id", F.col("src").alias("source"), "epoch", "block", "slot",
@@ -132,7 +162,7 @@ def _places(docs: DataFrame, weights: dict | None, alpha: float, block_rows: int
 
 
 def mix(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block_rows: int = BLOCK_ROWS,
-        source_col: str = "source", id_col: str = "doc_id", resolution: int = RESOLUTION) -> DataFrame:
+        source_col: str = "source", id_col: str = "doc_id", resolution: int | None = None) -> DataFrame:
     """``doc_id, source, epoch, block, slot, position``, one row per place in the mix.
 
     ``position`` numbers the mix from 0 without gaps; ``slot`` is the block's
@@ -142,7 +172,7 @@ def mix(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, bloc
 
 
 def mix_rows(docs: DataFrame, weights: dict | None = None, alpha: float = ALPHA, block_rows: int = BLOCK_ROWS,
-             source_col: str = "source", id_col: str = "doc_id", resolution: int = RESOLUTION) -> DataFrame:
+             source_col: str = "source", id_col: str = "doc_id", resolution: int | None = None) -> DataFrame:
     """The mix itself: the rows of ``docs`` (all columns), once per epoch, range-partitioned and sorted by position."""
     placed = _places(docs, weights, alpha, block_rows, source_col, id_col, resolution, docs.columns)
     return placed.repartitionByRange("position").sortWithinPartitions("position").select("kept.*")

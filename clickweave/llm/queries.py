@@ -41,7 +41,8 @@ def op4_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    """With the weights of its SQL, which rounds them to 1/1024."""
+    return mixing.mix(table(spark, sf_dir, "documents"), resolution=mixing.RESOLUTION)
 
 
 def op6_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

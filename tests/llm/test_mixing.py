@@ -73,3 +73,16 @@ def test_ranking_buckets_give_the_same_mix(spark, monkeypatch):
     one = Counter(map(tuple, mixing.mix(docs).collect()))
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 5)
     assert Counter(map(tuple, mixing.mix(docs).withColumn("slot", F.col("slot")).collect())) == one
+
+
+def test_a_one_row_source_is_within_one_block_of_its_real_weight(spark):
+    rows = [(i, "t", "en", f"s{i % 4}") for i in range(40_000)] + [(99_999, "x", "en", "tiny")]
+    got = mixing.mix(documents(spark, rows), block_rows=8).groupBy("slot", "source").agg(F.count("*").alias("c")).orderBy("slot").collect()
+    sizes = Counter(r[3] for r in rows)
+    total = sum(n ** 0.7 for n in sizes.values())
+    done = Counter()
+    for t, r in enumerate(got, 1):
+        assert r.slot == t - 1 and r.c == 8
+        done[r.source] += 1
+        assert all(abs(done[s] - t * n ** 0.7 / total) < 1 + 1e-6 for s, n in sizes.items())
+    assert len(got) >= 5000 and done["tiny"] <= 3
