@@ -1,0 +1,10 @@
+import __spark_entry__ as se
+
+
+def test_registered_models_are_ended_by_early_stopping(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(se, "_wb", lambda *a: type("W", (), {"_memo": {}, "encoded": lambda self: None})())
+    monkeypatch.setattr(se, "model_matrix", lambda encoded: None)
+    monkeypatch.setattr(se, "run_folds", lambda *a, **b: asked.update(b))
+    se._fold_run(spark, "none")
+    assert asked["params"].early_stop and asked["params"].max_iter >= 50_000
