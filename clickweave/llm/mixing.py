@@ -50,7 +50,7 @@ RESOLUTION = 1024
 #: Largest number of slots where weights are not rounded to one, and the largest product of blocks and slots.
 FINEST, LARGEST = 1 << 40, 1 << 60
 #: Slots of the schedule made in one array, slots of a schedule at most, and slots that are broadcast at most.
-CHUNK, MAX_SLOTS, BROADCAST_SLOTS = 1024, 1 << 27, 100_000
+CHUNK, MAX_SLOTS, BROADCAST_SLOTS = 256, 1 << 27, 100_000
 BLOCK_ROWS = 8
 #: Rows of one ranking bucket, about.
 BUCKET_ROWS = 4096
@@ -97,8 +97,10 @@ def pfair_period(weights: DataFrame, slots: int | None = None) -> DataFrame:
         keys = F.transform(F.arrays_zip(acc["done"].alias("done"), F.col("a").alias("a"), F.sequence(F.lit(0), F.size("s") - 1).alias("i")), lambda x: F.when(
             x["done"] * F.col("q") < (t + 1) * x["a"], F.struct(ceil_div((x["done"] + 1) * F.col("q"), x["a"]).alias("d"), (-x["a"]).alias("h"), x["i"].alias("i"))))
         pick = F.array_min(F.filter(keys, lambda k: k.isNotNull()))["i"]
-        return F.struct(F.transform(acc["done"], lambda x, i: F.when(i == pick, x + 1).otherwise(x)).alias("done"),
-                        F.concat(acc["runs"], F.array(F.struct(pick.alias("i"), F.get(acc["done"], pick).alias("j")))).alias("runs"))
+        # bound to a variable, or it is worked out again for each source
+        return F.transform(F.array(pick), lambda p: F.struct(
+            F.transform(acc["done"], lambda x, i: F.when(i == p, x + 1).otherwise(x)).alias("done"),
+            F.concat(acc["runs"], F.array(F.struct(p.alias("i"), F.get(acc["done"], p).alias("j")))).alias("runs")))[0]
 
     def chunk(acc: Column, k: Column) -> Column:  # short arrays, since each slot copies what it appends to
         none = F.array().cast("array<struct<i:int,j:bigint>>")
