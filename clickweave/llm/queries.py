@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm import byte_bpe, context_mixing, cross_polytope, exact_dedup, licenses, mixing, near_dedup, quality, substring_dedup, token_shards
+from clickweave.llm import (
+    byte_bpe, context_mixing, conversation_repair, cross_polytope, exact_dedup, hard_negatives, licenses, mixing, near_dedup, quality,
+    secrets, substring_dedup, token_shards,
+)
 from clickweave.llm.common import table
 
 
@@ -68,6 +71,20 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), F.concat_ws("/", part("source"), part("lang"), part("doc_id")))
 
 
+def op11_ida_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(conversations), conversations)
+
+
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
+def op13_secret_lexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cross_polytope": op1_cross_polytope,
     "op2_context_mixing": op2_context_mixing,
@@ -79,6 +96,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_empirical_bayes": op8_empirical_bayes,
     "op9_chosen_path": op9_chosen_path,
     "op10_license_scan": op10_license_scan,
+    "op11_ida_repair": op11_ida_repair,
+    "op12_angular_negatives": op12_angular_negatives,
+    "op13_secret_lexing": op13_secret_lexing,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -86,4 +106,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_pfair_mix": mixing.ORACLE_SQL,
     "op6_window_dedup": substring_dedup.ORACLE_SQL,
     "op9_chosen_path": near_dedup.ORACLE_SQL,
+    "op11_ida_repair": conversation_repair.ORACLE_SQL,
+    "op12_angular_negatives": hard_negatives.ORACLE_SQL,
 }
