@@ -7,6 +7,7 @@ cluster's own choices win.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,21 +58,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return configure(spark)
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for stage tables and checkpoints.
 
     ``spark.checkpoint.dir`` of the session, else of the application, else the
     folder given to ``SparkContext.setCheckpointDir``.  Only a local session
-    may do without: it gets a folder under ``/tmp`` (tests).
+    may do without: it gets one temporary folder per application (tests).
     """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-    root = root or context.getCheckpointDir()
+    root = root or _LOCAL_ROOTS.get(context.applicationId) or context.getCheckpointDir()
     if not root:
         if not context.master.startswith("local[") and context.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        root = "/tmp/clickweave-checkpoints"
-        spark.conf.set("spark.checkpoint.dir", root)
+        # the option itself cannot be set on a running session, so the folder is remembered here
+        root = _LOCAL_ROOTS[context.applicationId] = tempfile.mkdtemp(prefix="clickweave-checkpoints-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root
