@@ -5,15 +5,17 @@ unique) so results never depend on the input row order.
 
 Hot groups.  A plain ``Window.partitionBy(group)`` puts every row of a group
 into one task.  When ``bucket`` is given (a column that never decreases along
-the order, e.g. the hour of the event), the rows are windowed per
+the order), the rows are windowed per
 ``(group, bucket)`` instead, so a group with a third of all rows is spread over
-many tasks.  Only the first and last ``depth`` rows of each bucket can have
+many tasks (``skew.chunked`` gives buckets of about equal size).  Only the first and last ``depth`` rows of each bucket can have
 neighbours outside it; those "rim" rows (at most ``2 * depth`` per bucket) are
 windowed again per group, which yields their exact neighbours, because the
 rows between a rim row and its true k-th neighbour are all rim rows too.
 A NULL bucket means "the whole group is one bucket" (no rim), so callers give
 a bucket only to the bounded set of hot groups
-(``clickweave.operators.skew``) and the rim table stays small.
+(``clickweave.operators.skew``) and the rim table stays small.  With ``row_id``
+the rim's neighbours are joined back onto the rows, which then keep their
+partitioning by (group, bucket).
 """
 
 from __future__ import annotations
@@ -47,6 +49,7 @@ def with_neighbors(
     order: Sequence[Column],
     depths: Mapping[str, int],
     bucket: Column | None = None,
+    row_id: str | None = None,
 ) -> DataFrame:
     """Add ``{c}__prev{k}`` / ``{c}__next{k}`` for k = 1..depths[c].
 
@@ -71,8 +74,6 @@ def with_neighbors(
         *_shift_columns(depths, wb),
     )
     rim_cond = F.col(_B).isNotNull() & ((F.col(_RN) <= depth) | (F.col(_RN) > F.col(_CNT) - depth))
-    inner = staged.filter(~rim_cond).drop(_B, _RN, _CNT)
-
     wg = Window.partitionBy(*group).orderBy(*order)
     fixed = []
     for c, d in depths.items():
@@ -86,8 +87,16 @@ def with_neighbors(
                 .otherwise(F.col(next_name(c, k)))
                 .alias(next_name(c, k))
             )
-    rim = staged.filter(rim_cond).select(*base_cols, *fixed)
-    return _guard(inner.unionByName(rim), group, depths)
+    rim = staged.filter(rim_cond)
+    if row_id is None:
+        inner = staged.filter(~rim_cond).drop(_B, _RN, _CNT)
+        return _guard(inner.unionByName(rim.select(*base_cols, *fixed)), group, depths)
+    names = [f(c, k) for c, d in depths.items() for k in range(1, d + 1) for f in (prev_name, next_name)]
+    values = rim.select(*group, _B, row_id, *fixed)
+    values = values.withColumnsRenamed({n: f"__rim_{n}" for n in names}).withColumn("__rim", F.lit(True))
+    out = staged.join(values, [*group, _B, row_id], "left")
+    out = out.select(*base_cols, *[F.when(F.col("__rim"), F.col(f"__rim_{n}")).otherwise(F.col(n)).alias(n) for n in names])
+    return _guard(out, group, depths)
 
 
 def _guard(df: DataFrame, group: Sequence[str], depths: Mapping[str, int]) -> DataFrame:
@@ -113,7 +122,7 @@ def with_positions(
     """For each ``(group, position, size)`` spec add the 1-based position of
     the row in its group and the group size (BIGINT).
 
-    With ``bucket``, positions are counted per (group, bucket) and shifted by
+    With ``bucket`` (never NULL here), positions are counted per (group, bucket) and shifted by
     the rows of the group's earlier buckets; the offsets come from
     pre-aggregated (group, bucket) count tables, never from a whole group.
     Rows with a NULL group part get NULL.
@@ -128,7 +137,7 @@ def with_positions(
             cols.append(F.when(ok, F.count(F.lit(1)).over(wc)).alias(size))
         return df.select("*", *cols)
 
-    base = df.withColumn(_B, F.coalesce(bucket, F.lit(-1)))  # NULL bucket: whole group
+    base = df.withColumn(_B, bucket)  # a plain column keeps the partitioning by (group, bucket)
     staged = base
     for i, (group, _, _) in enumerate(specs):
         wb = Window.partitionBy(*group, _B).orderBy(*order)

@@ -6,13 +6,15 @@ Layout (see README, "Scale"):
   every later window and every (user, ...) aggregate and join-back runs inside
   those partitions with no further shuffle.
 * Users with more rows than ``hot_rows`` (a counted, bounded list) are split
-  off.  Their sequences are windowed per (user, time bucket) with an exact rim
-  fix-up, their aggregates are partially aggregated before the shuffle, and
-  log tables cut to them are broadcast when counted small.
+  off and laid out in chunks of about ``chunk_rows`` rows, (user, range of the
+  row order), by two shuffles; their rows are not shuffled again.  Sequences
+  are windowed per (user, chunk) with an exact fix-up of the border rows,
+  aggregates are partially aggregated where the rows lie, and tables come back
+  by way of the keys that each chunk holds (``skew.chunk_join_back``).
 * The view log is never joined back onto itself: its features are grouped
   tables keyed by user, (user, date), (user, weekday) and (user, hour).  Its
-  lag window is partitioned by (user, bucket), where the bucket is NULL for
-  ordinary users and the hour for hot users.
+  lag window is partitioned by (user, chunk), where the chunk is NULL for
+  ordinary users.
 
 Features that look ahead (leads, counts over train and test) follow the
 reference on purpose; they are not point-in-time safe.
@@ -20,6 +22,7 @@ reference on purpose; they are not point-in-time safe.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -36,7 +39,7 @@ from clickweave.operators.aggregates import (
 )
 from clickweave.operators.dictionary import encode_first_seen
 from clickweave.operators.sequences import next_name, prev_name, with_neighbors, with_positions
-from clickweave.operators.skew import DEFAULT_HOT_ROWS, HotSplit, split_hot
+from clickweave.operators.skew import CHUNK, CHUNK_ROWS, DEFAULT_HOT_ROWS, chunk_count, chunk_join_back, chunked, split_hot
 from clickweave.session import cut_lineage, write_table
 
 U, APP, OS, NET = "user_id", "app_code", "os_version", "is_4G"
@@ -47,8 +50,8 @@ HOUR, MINUTE = "impression_timeHour", "impression_timeMinute"
 MOE, MOS = "impression_timeIs_month_end", "impression_timeIs_month_start"
 
 MAX_BROADCAST_ROWS = 2_000_000
-#: Rows of a log table of hot users (about 60 columns) that are broadcast at most.
-MAX_HOT_TABLE_ROWS = 100_000
+#: Left join of a grouped table onto the rows of one path: (rows, table, keys, keys of the table or None).
+JoinBack = Callable[..., DataFrame]
 
 
 @dataclass(frozen=True)
@@ -57,7 +60,7 @@ class FeatureConfig:
 
     log_order: tuple[str, ...] = ("server_time", "session_id", "item_id", "row_id")
     hot_rows: int = DEFAULT_HOT_ROWS
-    hot_bucket_us: int = 3_600_000_000
+    chunk_rows: int = CHUNK_ROWS
     time_lags: int = 5
     price_lags: int = 4
     count_lags: int = 2
@@ -166,10 +169,10 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
     log = log.filter(F.col(U).isNotNull())  # every table is keyed by user, and a missing user is no group
     split = split_hot(log, [U], cfg.hot_rows)
     if split.n_hot:
-        marked = split.keys.withColumn("__hot", F.lit(True))
-        flagged = log.join(F.broadcast(marked) if split.small else marked, U, "left")
-        bucket = F.when(F.col("__hot"), F.floor(F.col(US) / F.lit(cfg.hot_bucket_us)))
-        gapped = log_gap_columns(flagged, cfg, bucket).drop("__hot")
+        order = [F.col(c) for c in cfg.log_order]
+        hot = chunked(split.hot, [U], order, split.hot_rows, cfg.chunk_rows)
+        log = split.normal.withColumn(CHUNK, F.lit(None).cast("int")).unionByName(hot)
+        gapped = log_gap_columns(log, cfg, F.col(CHUNK)).drop(CHUNK)
     else:
         gapped = log_gap_columns(log, cfg, None)
     diffs = [f"__log_d{k}" for k in range(1, cfg.time_lags + 1)]
@@ -255,21 +258,21 @@ COUNT_KEYS = [
 ]
 
 
-def _impression_counts(base: DataFrame) -> DataFrame:
+def _impression_counts(base: DataFrame, back: JoinBack = join_back) -> DataFrame:
     """Per-row counts keyed by user and something else (A4).
 
     Every count table is grouped from the same ``base`` and left-joined onto
     it, so the plan grows linearly with the number of tables."""
     out = base
     for keys, name in COUNT_KEYS:
-        out = join_back(out, base.groupBy(*keys).agg(count_rows(name)), keys)
+        out = back(out, base.groupBy(*keys).agg(count_rows(name)), keys)
     return out
 
 
 def _impression_lags(df: DataFrame, bucket: Column | None, cfg: FeatureConfig) -> DataFrame:
     """Time lags (W1, step form) and count lags (W4), one window pass."""
     depths = {US: cfg.time_lags, **{c: cfg.count_lags for c in COUNT_LAG_BASES}}
-    df = with_neighbors(df, [U], impression_order(), depths, bucket)
+    df = with_neighbors(df, [U], impression_order(), depths, bucket, IID if bucket is not None else None)
     cols: dict[str, Column] = {}
     for k in range(1, cfg.time_lags + 1):
         sfx = "" if k == 1 else str(k)
@@ -300,7 +303,7 @@ def _impression_lags(df: DataFrame, bucket: Column | None, cfg: FeatureConfig) -
     return df.withColumns(cols).drop(*helper)
 
 
-def _impression_aggregates(base: DataFrame, small_user_tables: bool) -> DataFrame:
+def _impression_aggregates(base: DataFrame, back: JoinBack = join_back) -> DataFrame:
     """Gap statistics (A1), distinct counts (A6), time ranges (A8) and the
     user / (user, app) counts: one aggregate per key, all grouped from the
     same ``base``."""
@@ -318,8 +321,6 @@ def _impression_aggregates(base: DataFrame, small_user_tables: bool) -> DataFram
         F.min(TORD).alias("user_time_min"),
         F.max(TORD).alias("user_time_max"),
     )
-    if small_user_tables:  # hot users: at most one row per hot user
-        per_user = F.broadcast(per_user)
     per_user_app = base.groupBy(U, APP).agg(
         count_rows("user_app_impression_count"),
         *stat_columns("__d1", "user_app_time_diff1"),
@@ -328,9 +329,9 @@ def _impression_aggregates(base: DataFrame, small_user_tables: bool) -> DataFram
         F.max(TORD).alias("user_app_code_time_max"),
     )
     per_user_app_dow = base.groupBy(U, APP, DOW).agg(*stat_columns("__d1", "user_app_daywk_time_diff1"))
-    out = join_back(base, per_user, [U])
-    out = join_back(out, per_user_app, [U, APP])
-    return join_back(out, per_user_app_dow, [U, APP, DOW])
+    out = back(base, per_user, [U])
+    out = back(out, per_user_app, [U, APP])
+    return back(out, per_user_app_dow, [U, APP, DOW])
 
 
 POSITION_SPECS = [
@@ -361,39 +362,46 @@ def _impression_positions(df: DataFrame, bucket: Column | None) -> DataFrame:
     return df.withColumns(shares).drop(*drop)
 
 
-def _join_log(df: DataFrame, log: LogTables, hot: HotSplit | None) -> DataFrame:
-    """Log tables onto impressions; right keys renamed first.
-
-    On the hot path (``hot`` given) the tables are cut to the hot users
-    first.  The user table then has at most one row per hot user and the
-    others at most a week's, a day's or the log's days of rows for each, and
-    they are broadcast only when counted small."""
-    tables = [(log.user, [U], [U]), (log.user_date, [U, DATE], [U, "server_time_date"]),
-              (log.user_dow, [U, DOW], [U, "server_timeDayofweek"]), (log.user_hour, [U, HOUR], [U, "server_timeHour"])]
-    for table, left, right in tables:
-        if hot is not None:
-            table = table.join(F.broadcast(hot.keys) if hot.small else hot.keys, U, "left_semi")
-            table = _checked_broadcast(table, MAX_HOT_TABLE_ROWS)
-        df = join_back(df, table, left, right)
+def _join_log(df: DataFrame, log: LogTables, back: JoinBack = join_back) -> DataFrame:
+    """Log tables onto impressions; right keys renamed first."""
+    for table, left, right in [(log.user, [U], [U]), (log.user_date, [U, DATE], [U, "server_time_date"]),
+                               (log.user_dow, [U, DOW], [U, "server_timeDayofweek"]),
+                               (log.user_hour, [U, HOUR], [U, "server_timeHour"])]:
+        df = back(df, table, left, right)
     return df
 
 
-def _user_block(df: DataFrame, log: LogTables, bucket: Column | None, hot: HotSplit | None, cfg: FeatureConfig,
-                held: list[DataFrame]) -> DataFrame:
+def _chunk_back(base: DataFrame) -> JoinBack:
+    def back(df: DataFrame, table: DataFrame, keys: list[str], right_keys: list[str] | None = None) -> DataFrame:
+        if right_keys is not None:
+            table = table.withColumnsRenamed(dict(zip(right_keys, keys)))
+        return chunk_join_back(df, base, table, keys, [U, CHUNK])
+    return back
+
+
+def hot_layout(hot: DataFrame, rows: int, cfg: FeatureConfig) -> DataFrame:
+    """Impressions of hot users by (user, chunk): one shuffle by range, one by hash."""
+    dealt = chunked(hot, [U], impression_order(), rows, cfg.chunk_rows)
+    return dealt.repartition(chunk_count(rows, cfg.chunk_rows), U, CHUNK)
+
+
+def _user_block(df: DataFrame, log: LogTables, cfg: FeatureConfig, held: list[DataFrame], hot: bool = False) -> DataFrame:
     """Features of one path.  ``df`` is read by every count branch and the
     lagged frame by every statistics branch, so both are persisted (the
-    cached data keeps its hash partitioning by user; ``held`` collects them
-    for release after the result is lineage-cut)."""
+    cached data keeps its hash partitioning; ``held`` collects them for
+    release after the result is lineage-cut).  Ordinary users lie by user,
+    ``hot`` ones by (user, ``CHUNK``)."""
+    bucket = F.col(CHUNK) if hot else None
     base = _filled(df.persist())
     held.append(base)
-    counted = _impression_counts(base)
+    counted = _impression_counts(base, _chunk_back(base) if hot else join_back)
     # running positions sort narrow rows here, before the wide statistics
     placed = _impression_positions(counted, bucket)
     lagged = _filled(_impression_lags(placed, bucket, cfg).persist())
     held.append(lagged)
-    summed = _impression_aggregates(lagged, small_user_tables=hot is not None)
-    joined = _join_log(summed, log, hot)
-    return joined.drop(*[f"__d{k}" for k in range(1, cfg.time_lags + 1)])
+    back = _chunk_back(lagged) if hot else join_back
+    joined = _join_log(_impression_aggregates(lagged, back), log, back)
+    return joined.drop(CHUNK, *[f"__d{k}" for k in range(1, cfg.time_lags + 1)])
 
 
 def _global_tables(df: DataFrame, held: list[DataFrame] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -439,12 +447,10 @@ def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = Fe
     held: list[DataFrame] = []
     per_app, per_os = _global_tables(imps, held)
     split = split_hot(imps, [U], cfg.hot_rows)
-    held.append(split.keys)
     normal = split.normal.repartition(U)
-    parts = [_user_block(normal, log, None, None, cfg, held)]
+    parts = [_user_block(normal, log, cfg, held)]
     if split.n_hot:
-        bucket = (F.lit(1) - F.col(TRAIN)) * F.lit(1 << 40) + F.floor(F.col(US) / F.lit(cfg.hot_bucket_us))
-        parts.append(_user_block(split.hot, log, bucket, split, cfg, held))
+        parts.append(_user_block(hot_layout(split.hot, split.hot_rows, cfg), log, cfg, held, hot=True))
     # rows without a user are in no group: every per-user feature is NULL
     known = set(split.unkeyed.columns)
     parts.append(split.unkeyed.select(*[F.col(f.name) if f.name in known else F.lit(None).cast(f.dataType).alias(f.name)

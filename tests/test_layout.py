@@ -19,8 +19,7 @@ def _rounded(df):
 
 def test_hot_users_give_same_features(spark):
     normal = _build(spark, fp.FeatureConfig(log_order=bindings.A_LOG_ORDER))
-    hot = _build(spark, fp.FeatureConfig(log_order=bindings.A_LOG_ORDER, hot_rows=15,
-                                         hot_bucket_us=4 * 3600 * 10**6))
+    hot = _build(spark, fp.FeatureConfig(log_order=bindings.A_LOG_ORDER, hot_rows=15, chunk_rows=40))
     cols = sorted(normal.columns)
     assert sorted(hot.columns) == cols
     a, b = _rounded(normal.select(cols)), _rounded(hot.select(cols))
@@ -37,7 +36,7 @@ def test_user_block_shuffles_once_by_user(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         log = fp.log_features(fp.prepare_log(fp.join_items(v["a_view_log"], v["a_item_data"]), cfg), cfg)
-        block = fp._user_block(imps.repartition("user_id"), log, None, None, cfg, held)
+        block = fp._user_block(imps.repartition("user_id"), log, cfg, held)
         plan = block._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -54,6 +53,76 @@ def test_user_block_shuffles_once_by_user(spark):
     assert all("Scan ExistingRDD" in o and "impression_id" not in o for o in other_shuffles), other_shuffles
 
 
+def _row_shuffles(root):
+    """Exchanges whose rows carry an impression id, each cached sub-plan counted once: (wide, of border rows)."""
+    seen, stack, wide, rim = set(), [root], [], []
+    while stack:
+        node = stack.pop()
+        name = node.getClass().getSimpleName()
+        if name == "InMemoryTableScanExec":
+            cached = node.relation().cachedPlan()
+            if cached.toString() not in seen:
+                seen.add(cached.toString())
+                stack.append(cached)
+        if name == "ShuffleExchangeExec":
+            columns = [node.output().apply(i).name() for i in range(node.output().size())]
+            if "impression_id" in columns:
+                border = any(c.startswith(("__cw_rn", "__rim")) for c in columns)
+                (rim if border else wide).append((node.outputPartitioning().toString(), len(columns), [c for c in columns if c.startswith("__")]))
+        stack += [node.children().apply(i) for i in range(node.children().size())]
+    return wide, rim
+
+
+def _one_hour(spark, n=900):
+    """A user whose rows all share one hour, many of them one instant, beside an ordinary one."""
+    return spark.range(n).selectExpr(
+        "cast(id as string) as impression_id", "timestamp_ntz'2024-01-03 10:00:00' + make_interval(0, 0, 0, 0, 0, 0, greatest(0, id - 500) % 1800) as impression_time",
+        "case when id < 800 then 1L else 2L end as user_id", "cast(id % 3 as int) as app_code", "'a' as os_version", "cast(id % 2 as int) as is_4G",
+        "cast(id % 5 = 0 as int) as is_click", "date'2024-01-03' as impression_date", "cast(id % 7 > 0 as int) as train_set")
+
+
+def _one_hour_log(spark, n=700):
+    return spark.range(n).selectExpr(
+        "id as row_id", "timestamp_ntz'2024-01-03 10:00:00' + make_interval(0, 0, 0, 0, 0, 0, greatest(0, id - 300) % 600) as server_time",
+        "cast(id % 4 as string) as device_type", "id % 9 as session_id", "case when id < 600 then 1L else 2L end as user_id", "id % 11 as item_id")
+
+
+def test_a_user_with_all_rows_in_one_hour_is_split(spark):
+    v = bindings.register(spark, SF)
+    built = []
+    for cfg in (fp.FeatureConfig(log_order=bindings.A_LOG_ORDER),
+                fp.FeatureConfig(log_order=bindings.A_LOG_ORDER, hot_rows=200, chunk_rows=100)):
+        log = fp.prepare_log(fp.join_items(_one_hour_log(spark), v["a_item_data"]), cfg)
+        built.append(_rounded(fp.impression_features(fp.prepare_impressions(_one_hour(spark)), fp.log_features(log, cfg), cfg)))
+    assert built[0].count() == 900 and built[0].exceptAll(built[1]).count() == 0 and built[1].exceptAll(built[0]).count() == 0
+    split = fp.split_hot(fp.prepare_impressions(_one_hour(spark)), ["user_id"], 200)
+    assert (split.n_hot, split.hot_rows) == (1, 800)
+    sizes = [r["count"] for r in fp.hot_layout(split.hot, split.hot_rows, cfg).groupBy("user_id", fp.CHUNK).count().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 800 and max(sizes) <= 200
+
+
+def test_hot_rows_are_shuffled_twice(spark):
+    """By range (before the written chunks) and by (user, chunk); after that only border rows and grouped tables move."""
+    cfg = fp.FeatureConfig(log_order=bindings.A_LOG_ORDER, hot_rows=15, chunk_rows=40)
+    v = bindings.register(spark, SF)
+    imps = fp.prepare_impressions(v["a_impressions"])
+    held = []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        log = fp.log_features(fp.prepare_log(fp.join_items(v["a_view_log"], v["a_item_data"]), cfg), cfg)
+        split = fp.split_hot(imps, ["user_id"], cfg.hot_rows)
+        block = fp._user_block(fp.hot_layout(split.hot, split.hot_rows, cfg), log, cfg, held, hot=True)
+        wide, rim = _row_shuffles(block._jdf.queryExecution().executedPlan())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for h in held:
+            h.unpersist()
+    assert len(wide) == 1 and "__chunk" in wide[0][0], wide  # the shuffle by range lies before the written chunks
+    assert len(rim) <= 2, rim
+
+
 def _shuffles(root):
     """(repartition-by-user shuffle count, other shuffles) in a physical plan,
     each cached sub-plan counted once."""
