@@ -437,8 +437,8 @@ def _finish_row(df: DataFrame) -> DataFrame:
     })
 
 
-def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """Every base feature of every impression (train and test).
+def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = FeatureConfig(), path: str | None = None) -> DataFrame:
+    """Every base feature of every impression (train and test), written (to ``path`` where given).
 
     ``imps`` is ``prepare_impressions(...)``, lineage-cut by the caller (it is
     read by several branches); the result keeps its rows (all joins are left
@@ -459,16 +459,16 @@ def impression_features(imps: DataFrame, log: LogTables, cfg: FeatureConfig = Fe
     for part in parts[1:]:
         out = out.unionByName(part)
     out = out.join(per_app, APP, "left").join(per_os, OS, "left")
-    result = write_table(_finish_row(out).drop(US), "features")
+    result = write_table(_finish_row(out).drop(US), "features", path)
     for frame in held:
         frame.unpersist()
     return result
 
 
 def build_features(
-    impressions: DataFrame, view_log: DataFrame, items: DataFrame, cfg: FeatureConfig = FeatureConfig()
+    impressions: DataFrame, view_log: DataFrame, items: DataFrame, cfg: FeatureConfig = FeatureConfig(), path: str | None = None
 ) -> DataFrame:
     """Sources to the full base-feature table (entry point E1)."""
     log = prepare_log(join_items(view_log, items), cfg)
     tables = log_features(log, cfg)
-    return impression_features(cut_lineage(prepare_impressions(impressions)), tables, cfg)
+    return impression_features(cut_lineage(prepare_impressions(impressions)), tables, cfg, path)

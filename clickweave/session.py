@@ -98,7 +98,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a stage folder (in whatever file system the path names)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def write_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Cut lineage by writing a parquet table into the shared checkpoint
     folder and reading it back.
 
@@ -106,8 +117,10 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     feature table has ~270 columns, the encoders read ~35): parquet lets the
     scan prune columns, which a checkpoint of serialized rows cannot.  The
     hash partitioning is not kept, so tables that are joined on their
-    partitioning key use ``cut_lineage`` instead.
+    partitioning key use ``cut_lineage`` instead.  ``path`` names the folder
+    of a stage that is kept; an unfinished earlier attempt there is replaced.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("errorifexists").parquet(path)
+    mode = "overwrite" if path else "errorifexists"
+    path = path or scratch_path(df.sparkSession, name)
+    df.write.mode(mode).parquet(path)
     return df.sparkSession.read.parquet(path)

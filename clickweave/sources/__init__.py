@@ -2,15 +2,19 @@
 writers."""
 
 from clickweave.sources.files import (
+    IMPORTANCE,
     IMPRESSIONS,
     ITEMS,
     PREDICTIONS,
+    TEST_IMPRESSIONS,
     VIEW_LOG,
+    Scan,
     read_csv,
+    scan_csv,
     write_csv,
     write_importance,
     write_predictions,
 )
 
-__all__ = ["IMPRESSIONS", "ITEMS", "PREDICTIONS", "VIEW_LOG", "read_csv", "write_csv", "write_importance",
-           "write_predictions"]
+__all__ = ["IMPORTANCE", "IMPRESSIONS", "ITEMS", "PREDICTIONS", "TEST_IMPRESSIONS", "VIEW_LOG", "Scan", "read_csv", "scan_csv",
+           "write_csv", "write_importance", "write_predictions"]
