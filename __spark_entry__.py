@@ -23,16 +23,27 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import bindings  # noqa: E402
 import oracle  # noqa: E402
-from clickweave.functions.dates import micros_to_seconds  # noqa: E402
+from clickweave.functions.dates import micros_to_seconds, parse_timestamp  # noqa: E402
 from clickweave.operators.folds import fold_sizes, fold_table, kfold_assign, timeseries_split_sizes  # noqa: E402
 from clickweave.operators.metrics import auc_by_group, mean_metric  # noqa: E402
 from clickweave.operators.outoffold import SLOT, fold_values, oof_encode, oof_encode_long  # noqa: E402
 from clickweave.plans import features as fp  # noqa: E402
 from clickweave.plans.encoders import encode_features  # noqa: E402
-from clickweave.plans.matrix import feature_names, model_matrix  # noqa: E402
-from clickweave.plans.model import TreeParams, average_fold_predictions, run_folds  # noqa: E402
+from clickweave.plans.chain import Chain, Inputs, before_date_end, unite  # noqa: E402
+from clickweave.plans.matrix import model_matrix  # noqa: E402
+from clickweave.plans.model import TreeParams, average_fold_predictions, top_features  # noqa: E402
 from clickweave.session import configure, cut_lineage, scratch_path, write_table  # noqa: E402
-from clickweave.sources.files import IMPRESSIONS, PREDICTIONS, read_csv, write_csv, write_predictions  # noqa: E402
+from clickweave.sources.files import (  # noqa: E402
+    IMPRESSIONS,
+    ITEMS,
+    PREDICTIONS,
+    TEST_IMPRESSIONS,
+    VIEW_LOG,
+    read_csv,
+    scan_csv,
+    write_csv,
+    write_predictions,
+)
 
 STATS = ("min", "max", "mean", "std")
 
@@ -215,9 +226,7 @@ def _a_imps(spark, sf_dir) -> DataFrame:
 def q_train_cutoff(spark, sf_dir):
     """Date cutoff written as a time range on the raw column, so the
     predicate reaches the parquet scan."""
-    imps = _a_imps(spark, sf_dir)
-    limit = F.lit(bindings.A_CUTOFF).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
-    return imps.filter(F.col("impression_time") < limit).select(
+    return _a_imps(spark, sf_dir).filter(before_date_end("impression_time", bindings.A_CUTOFF)).select(
         "impression_id", "impression_time", "user_id", "app_code", "is_click", "impression_date")
 
 
@@ -226,13 +235,9 @@ def q_train_test_split(spark, sf_dir):
 
 
 def q_union_train_test(spark, sf_dir):
-    imps = _a_imps(spark, sf_dir)
-    limit = F.lit(bindings.A_CUTOFF)
-    train = imps.filter(F.col("impression_date") <= limit).select(
-        "impression_id", "user_id", "impression_time", "is_click").withColumn("train_set", F.lit(1))
-    test = imps.filter(F.col("impression_date") > limit).select(
-        "impression_id", "user_id", "impression_time").withColumn("train_set", F.lit(0))
-    return train.unionByName(test, allowMissingColumns=True)
+    imps = _a_imps(spark, sf_dir).select("impression_id", "user_id", "impression_time", "is_click")
+    after = imps.filter(~before_date_end("impression_time", bindings.A_CUTOFF)).drop("is_click")
+    return unite(imps, after, bindings.A_CUTOFF).drop("impression_date")
 
 
 def q_head_n(spark, sf_dir):
@@ -252,6 +257,61 @@ def q_scan_impressions(spark, sf_dir):
     return read_csv(spark, path, IMPRESSIONS)
 
 
+#: Faults planted in the lines of an input, by id modulo 50: a word for a time or number, a missing field, one too many.
+PLANTED = 50
+
+
+def _lines(df: DataFrame, id_col: str, columns: list[Column], wrong: int) -> DataFrame:
+    """CSV lines with planted faults; ``wrong`` is the place of the column that holds a word."""
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    kind = F.pmod(F.col(id_col), F.lit(PLANTED))
+    bad = [F.lit("wrong") if i == wrong else t for i, t in enumerate(texts)]
+    return df.select(F.when(kind == 0, F.concat_ws(",", *bad)).when(kind == 1, F.concat_ws(",", *texts[:-1]))
+                     .when(kind == 2, F.concat_ws(",", *texts, F.lit("more"))).otherwise(F.concat_ws(",", *texts)).alias("line"))
+
+
+def _planted_scans(spark, sf_dir) -> dict:
+    """View log and items written as lines with planted faults, scanned with their declared schemas."""
+    wb = _wb(spark, sf_dir)
+
+    def build():
+        log, parts = wb.views["a_view_log"], spark.read.parquet(f"{sf_dir}/part.parquet")
+        log = _lines(log, "row_id", [F.date_format("server_time", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+                                     *[F.col(f.name) for f in VIEW_LOG.fields[1:]]], 0)
+        items = _lines(parts, "p_partkey", [F.col("p_partkey"), F.col("p_retailprice"), *[F.col("p_size") % k for k in (5, 7, 11)],
+                                            F.col("p_partkey") % 13], 3)
+        out = {}
+        for name, lines, schema in (("view_log", log, VIEW_LOG), ("items", items, ITEMS)):
+            path = scratch_path(spark, f"{name}-lines")
+            lines.write.text(path)
+            out[name] = scan_csv(spark, path, schema, header=False)
+        return out
+    return wb._once("planted_scans", build)
+
+
+def q_scan_view_log(spark, sf_dir):
+    return _planted_scans(spark, sf_dir)["view_log"].rows
+
+
+def q_scan_items(spark, sf_dir):
+    return _planted_scans(spark, sf_dir)["items"].rows
+
+
+def q_scan_rejects(spark, sf_dir):
+    """Malformed lines per input and failed columns."""
+    parts = [s.rejects.select(F.lit(n).alias("input"), "columns") for n, s in _planted_scans(spark, sf_dir).items()]
+    return parts[0].unionByName(parts[1]).groupBy("input", "columns").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_text_timestamps(spark, sf_dir):
+    """Times written as text (every third without a time of day, every tenth with slashes) parsed again."""
+    imps = _a_imps(spark, sf_dir)
+    text = (F.when(F.col("impression_id") % 10 == 0, F.date_format("impression_time", "yyyy/MM/dd"))
+            .when(F.col("impression_id") % 3 == 0, F.date_format("impression_time", "yyyy-MM-dd"))
+            .otherwise(F.date_format("impression_time", "yyyy-MM-dd HH:mm:ss")))
+    return imps.select("impression_id", parse_timestamp(text).alias("parsed_time"))
+
+
 def q_date_parts(spark, sf_dir):
     return _wb(spark, sf_dir).imps().select("impression_id", *DATE_PARTS)
 
@@ -361,36 +421,58 @@ def q_model_matrix(spark, sf_dir):
     return model_matrix(_wb(spark, sf_dir).encoded())
 
 
-#: Bound of trees per fold model of the registered queries, as in the reference; early stopping ends a fit before it.
-GBT_TREES = 50_000
+#: The registered run waits 5 rounds for a new minimum of the loss, not the 200 of the reference: see README for times.
+QUERY_TREES = TreeParams(patience=5, first_round=8)
 
 
-def _fold_run(spark, sf_dir):
+def _chain(spark, sf_dir) -> Chain:
+    """Binding A written as the four CSV inputs, and the whole run from them to the prediction file."""
     wb = _wb(spark, sf_dir)
-    if "fold_run" not in wb._memo:
-        matrix = model_matrix(wb.encoded())
-        wb._memo["fold_run"] = run_folds(
-            spark, matrix, feature_names(), bindings.A_FOLDS, params=TreeParams(max_iter=GBT_TREES),
-            parallelism=8, importance_path=scratch_path(spark, "importance-csv"))
-    return wb._memo["fold_run"]
+
+    def build():
+        imps = wb.views["a_impressions"].withColumn("impression_id", F.col("impression_id").cast("string"))
+        folder = scratch_path(spark, "run")
+        items = wb.views["a_item_data"]
+        inputs = Inputs(*(f"{folder}/{n}-csv" for n in ("train", "test", "view-log", "items")), items_schema=items.schema)
+        write_csv(imps.filter("train_set = 1").select(*IMPRESSIONS.fieldNames()), inputs.train)
+        write_csv(imps.filter("train_set = 0").select(*TEST_IMPRESSIONS.fieldNames()), inputs.test)
+        write_csv(wb.views["a_view_log"].select(*VIEW_LOG.fieldNames()), inputs.view_log)
+        write_csv(items, inputs.items)
+        chain = Chain(spark, inputs, folder, bindings.A_FOLDS, bindings.A_CUTOFF, fp.FeatureConfig(log_order=bindings.A_LOG_ORDER),
+                      QUERY_TREES, parallelism=8).run()
+        chain.clear()
+        return chain
+    return wb._once("chain", build)
 
 
 def q_gbt_fold_scores(spark, sf_dir):
-    return _fold_run(spark, sf_dir).metrics
+    return _chain(spark, sf_dir).metrics()
+
+
+def q_gbt_fold_sizes(spark, sf_dir):
+    """Folds of the fitted models with their held-out rows."""
+    return _chain(spark, sf_dir).metrics().select("fold_idx", "impression_date", "n_valid")
 
 
 def q_model_predictions(spark, sf_dir):
-    """Test scores of the fold models averaged per impression (M5), written by
-    the prediction sink and scanned back (S3)."""
-    scores = _fold_run(spark, sf_dir).test_scores
-    preds = average_fold_predictions(scores).select(F.col("impression_id").cast("string").alias("impression_id"), "is_click")
-    path = scratch_path(spark, "model-predictions-csv")
-    write_predictions(preds, path)
-    return read_csv(spark, path, PREDICTIONS)
+    """Test scores of the fold models averaged per impression (M5), from the prediction file (S3)."""
+    return _chain(spark, sf_dir).predictions()
+
+
+def q_run_predictions(spark, sf_dir):
+    """The run's prediction file, from four CSV inputs: every test impression once, with a probability."""
+    p = _chain(spark, sf_dir).predictions()
+    return p.select("impression_id", F.col("is_click").between(0, 1).alias("is_probability"))
 
 
 def q_feature_importance(spark, sf_dir):
-    return _fold_run(spark, sf_dir).importance
+    """The importance file of the run, scanned back."""
+    return _chain(spark, sf_dir).importance()
+
+
+def q_top_features(spark, sf_dir):
+    """The 25 features of largest gain (O3; the limit is the feature)."""
+    return top_features(_chain(spark, sf_dir).importance())
 
 
 # ---- registry -------------------------------------------------------------------
@@ -435,6 +517,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "union_train_test": q_union_train_test,
     "head_n": q_head_n,
     "scan_impressions": q_scan_impressions,
+    "scan_view_log": q_scan_view_log,
+    "scan_items": q_scan_items,
+    "scan_rejects": q_scan_rejects,
+    "text_timestamps": q_text_timestamps,
+    "run_predictions": q_run_predictions,
+    "gbt_fold_sizes": q_gbt_fold_sizes,
     "enc_mean_train": _enc_query("mean", True),
     "enc_mean_test": _enc_query("mean", False),
     "enc_count_train": _enc_query("count", True),
@@ -464,6 +552,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gbt_fold_scores": q_gbt_fold_scores,
     "model_predictions": q_model_predictions,
     "feature_importance": q_feature_importance,
+    "top_features": q_top_features,
 }
 
 

@@ -436,6 +436,48 @@ def q_scan_impressions() -> str:
                            "app_code, os_version, is_4G, is_click from a_impressions")
 
 
+_PLANTED_OK = "{0} % 50 not in (0, 1, 2)"
+
+
+def q_scan_view_log() -> str:
+    return cte_prefix() + ("select server_time, device_type, session_id, user_id, item_id from a_view_log where "
+                           + _PLANTED_OK.format("row_id"))
+
+
+def q_scan_items() -> str:
+    return ("select p_partkey as item_id, p_retailprice as item_price, cast(p_size % 5 as int) as category_1, "
+            "cast(p_size % 7 as int) as category_2, cast(p_size % 11 as int) as category_3, cast(p_partkey % 13 as int) as product_type "
+            "from part where " + _PLANTED_OK.format("p_partkey"))
+
+
+def q_scan_rejects() -> str:
+    """Planted lines: a word in one column, or a wrong number of fields."""
+    one = ("select '{0}' as input, case {1} % 50 when 0 then '{2}' else '' end as columns, count(*) as n from {3} "
+           "where {1} % 50 in (0, 1, 2) group by 1, 2")
+    return cte_prefix() + (one.format("view_log", "row_id", "server_time", "a_view_log") + " union all "
+                           + one.format("items", "p_partkey", "category_2", "part"))
+
+
+def q_text_timestamps() -> str:
+    return cte_prefix() + (
+        "select impression_id, case when impression_id % 10 = 0 then null when impression_id % 3 = 0 "
+        "then date_trunc('day', cast(impression_time as timestamp)) else date_trunc('second', cast(impression_time as timestamp)) end "
+        "as parsed_time from a_impressions")
+
+
+def q_run_predictions() -> str:
+    return cte_prefix() + ("select cast(impression_id as varchar) as impression_id, true as is_probability "
+                           "from a_impressions where train_set = 0")
+
+
+def q_gbt_fold_sizes() -> str:
+    return cte_prefix() + (
+        "select cast(row_number() over (order by d) - 1 as int) as fold_idx, d as impression_date, n_valid from ("
+        "select f.d, count(i.impression_id) as n_valid from (select cast(d as date) as d from "
+        "generate_series(date '2024-01-01', date '2024-01-23', interval 1 day) t(d)) f "
+        "left join a_impressions i on i.impression_date = f.d and i.train_set = 1 group by f.d)")
+
+
 FOLDS = "folds as (select cast(d as date) as d from generate_series(date '2024-01-01', date '2024-01-23', interval 1 day) t(d))"
 
 
@@ -601,6 +643,12 @@ QUERIES = {
     "union_train_test": q_union_train_test,
     "head_n": q_head_n,
     "scan_impressions": q_scan_impressions,
+    "scan_view_log": q_scan_view_log,
+    "scan_items": q_scan_items,
+    "scan_rejects": q_scan_rejects,
+    "text_timestamps": q_text_timestamps,
+    "run_predictions": q_run_predictions,
+    "gbt_fold_sizes": q_gbt_fold_sizes,
     "enc_mean_train": q_enc("mean", "tr"),
     "enc_mean_test": q_enc("mean", "te"),
     "enc_count_train": q_enc("count", "tr"),
