@@ -97,7 +97,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     pairs = written(pairs, "cc-edges")
     if pairs.isEmpty():
         return pairs.select(F.col("x").alias("node"), F.col("y").alias("component"))
-    spark = pairs.sparkSession
     while True:
         both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y")))
         least = written(both.groupBy(F.col("x").alias("v")).agg(F.min("y").alias("m"))
@@ -119,4 +118,3 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             roots = pairs.select(F.col("y").alias("node")).distinct()
             return pairs.select(F.col("x").alias("node"), F.col("y").alias("component")).unionByName(
                 roots.select("node", F.col("node").alias("component")))
-        spark.catalog.clearCache()

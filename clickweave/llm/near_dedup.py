@@ -10,18 +10,23 @@ the child named by (coordinate, minwise token), so similar sets stay together.
 Two rounds use the nodes.  First every member is set against the most central
 member of its node (the one closest to the node's most frequent tokens); each
 document's best such pair is confirmed on the full shingle sets, which joins
-most groups of copies with one pair per document.  Then nodes that still hold
-members of different components are searched whole: up to ``LEAF`` members
-exhaustively, on 8 bits of each coordinate; larger ones against a few central
-pivots, then branched further, and the few left at ``DEPTH`` exhaustively.
-Only pairs across components are proposed, and all of them are confirmed.
-Nodes of up to ``TASK_MEMBERS`` members do this inside one task; larger ones
-are branched by Spark, level by level, so no node has to fit in a task.
-
-The estimate only proposes pairs (from over 4 standard deviations below the
-threshold on); components of confirmed links are the result.  Recall: a pair
-at the threshold shares a branching of a tree with probability 3/4 or more;
-12 trees with 16 first branchings miss it with probability below 1e-8.
+most groups of copies with one pair per document.  Then nodes that still hold members of
+different components are branched down to ``LEAF`` members, and a leaf is
+compared exhaustively: first on 8 bits of each coordinate, which only tells
+whose sets are needed (members with an estimate from over 4 standard
+deviations below the threshold on to one of another component); then their
+full shingle sets, whose intersections a leaf counts all at once.  A node
+emits a forest of confirmed links, one row per member at most, however many
+pairs lie next to the threshold.  Nodes of up to ``TASK_MEMBERS`` members do
+this inside one task; larger ones are branched by Spark, level by level, so no
+node has to fit in a task.
+
+Components are those of confirmed links only.  Recall: a pair at the threshold
+shares a first branching of a tree with probability 3/4 or more, and stays
+together below it as a critical branching process does (after ten levels in
+about one third of the trees); with 16 first branchings it is missed in about
+(2/3) ** 16 = 0.2 % of the cases if the node is that deep, and only matters if
+no other path of links joins its ends.
 
 Defined results: a text without words, empty or null, has no shingles and is
 linked with nothing; a text with fewer words than a shingle is one shingle; a
@@ -50,10 +55,12 @@ THRESHOLD = 75
 COORDINATES = 128
 TREES = 12
 LEAF = 64
-PIVOTS = 16
-DEPTH = 10
+#: Levels of branching, after which the members of a node (alike in all of them) are compared by pivots.
+DEPTH = 30
+#: Columns of a leaf's set matrix held at once.
+COLUMNS = 1 << 15
 TASK_MEMBERS = 20_000
-#: Estimates from which a pair is proposed, and from which its two sets surely are in one group.
+#: Estimates from which a pair may be similar, and from which a large node's members surely are in its pivot's group.
 PROPOSED, SURE = 0.58, 0.86
 #: Ids broadcast to a text scan at most (8 bytes each); more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
@@ -166,79 +173,119 @@ def star(ids: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return ids[near], np.full(len(near), ids[middle]), alike[near]
 
 
-def compare_node(node: int, ids: np.ndarray, sketch: np.ndarray, component: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Proposed pairs (id, id) of one node, across components; ``sketch`` has 8 bits of each coordinate."""
-    order = np.lexsort((ids, -centrality(sketch)))
-    ids, sketch = ids[order], sketch[order]
-    groups, pairs = Groups(len(ids)), []
-    if component is not None:
-        _, first, inverse = np.unique(component[order], return_index=True, return_inverse=True)
-        groups.up = first[inverse]
-
-    def against(i: int, others: np.ndarray) -> np.ndarray:
-        """Propose i with others of other groups; returns who is surely in its group."""
-        others = others[groups.of(others) != groups.of(np.array([i]))[0]]
-        alike = (sketch[others] == sketch[i]).mean(1)
-        sure = others[alike >= SURE]
-        if len(sure):
-            # one pair joins a whole group
-            _, one = np.unique(groups.of(sure), return_index=True)
-            pairs.append((np.full(len(one), ids[i]), ids[sure[one]]))
-            groups.join(i, sure)
-        maybe = others[(alike >= PROPOSED) & (alike < SURE)]
-        maybe = maybe[groups.of(maybe) != groups.of(np.array([i]))[0]]
-        if len(maybe):
-            pairs.append((np.full(len(maybe), ids[i]), ids[maybe]))
-        return sure
-
-    def solve(node: int, members: np.ndarray, depth: int) -> None:
+def leaves(node: int, sketch: np.ndarray, groups: Groups) -> Iterator[np.ndarray]:
+    """Members that are compared with each other, as long as they are of several groups when their turn comes."""
+    stack = [(node, np.arange(len(sketch)), 1)]
+    while stack:
+        node, members, depth = stack.pop()
         if len(np.unique(groups.of(members))) < 2:
-            return
+            continue
         if len(members) <= LEAF or depth >= DEPTH:
-            for k, i in enumerate(members[:-1].tolist()):
-                against(i, members[k + 1:])
-            return
-        left = members
-        for _ in range(PIVOTS):
-            if not len(left):
-                break
-            pivot = int(left[0])
-            against(pivot, members)
-            left = left[1:]
-            left = left[groups.of(left) != groups.of(np.array([pivot]))[0]]
-        if len(np.unique(groups.of(members))) < 2:
-            return
+            yield members
+            continue
         for c in choices(node, depth):
             tokens = sketch[members, c]
             for t in np.unique(tokens).tolist():
                 part = members[tokens == t]
                 if len(part) > 1:
-                    solve(int(child_nodes(node, c, np.array([t]))[0]), part, depth + 1)
-
-    solve(node, np.arange(len(ids)), 1)
-    return pairs
+                    stack.append((int(child_nodes(node, c, np.array([t]))[0]), part, depth + 1))
+
+
+def _groups(component: np.ndarray) -> Groups:
+    groups = Groups(len(component))
+    _, first, inverse = np.unique(component, return_index=True, return_inverse=True)
+    groups.up = first[inverse]
+    return groups
+
+
+def involved(node: int, ids: np.ndarray, component: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Ids of the members that look similar to a member of another component in some leaf."""
+    groups, found = _groups(component), np.zeros(len(ids), bool)
+    for members in leaves(node, sketch, groups):
+        if len(members) > LEAF:
+            found[members] = True  # alike in all levels
+            continue
+        of = groups.of(members)
+        alike = (sketch[members][:, None, :] == sketch[members][None, :, :]).mean(2)
+        found[members] |= ((alike >= PROPOSED) & (of[:, None] != of[None, :])).any(1)
+    return ids[found]
+
+
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of different sets (of distinct hashes)."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1  # hashes of one set only add nothing
+    owner, column = owner[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for start in range(0, int((count > 1).sum()), COLUMNS):
+        i, j = np.searchsorted(column, (start, start + COLUMNS))
+        have = np.zeros((len(sets), min(COLUMNS, int((count > 1).sum()) - start)), np.float32)
+        have[owner[i:j], column[i:j] - start] = 1
+        both += have @ have.T
+    return both.astype(np.int64)
+
+
+def forest(node: int, ids: np.ndarray, component: np.ndarray, sketch: np.ndarray, sets: list[np.ndarray],
+           threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Confirmed links that join the components of a node, members - 1 at most."""
+    groups, sizes = _groups(component), np.array([len(x) for x in sets])
+    a: list[int] = []
+    b: list[int] = []
+
+    def join(i: int, j: int) -> None:
+        if groups.of(np.array([i]))[0] != groups.of(np.array([j]))[0]:
+            groups.join(i, np.array([j]))
+            a.append(min(ids[i], ids[j]))
+            b.append(max(ids[i], ids[j]))
+
+    for members in leaves(node, sketch, groups):
+        if len(members) <= LEAF:
+            both = overlaps([sets[i] for i in members])
+            n = sizes[members]
+            linked = 100 * both >= threshold * (n[:, None] + n[None, :] - both)
+            for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
+                join(members[i], members[j])
+            continue
+        left = members
+        while len(np.unique(groups.of(left))) > 1:  # each pivot against all that are left, in blocks
+            pivot, left = left[0], left[1:]
+            others = left[groups.of(left) != groups.of(np.array([pivot]))[0]]
+            for k in range(0, len(others), LEAF):
+                block = others[k:k + LEAF]
+                both = np.array([len(np.intersect1d(sets[pivot], sets[i], assume_unique=True)) for i in block])
+                for i in block[100 * both >= threshold * (sizes[pivot] + sizes[block] - both)]:
+                    join(pivot, i)
+    return np.array(a, np.int64), np.array(b, np.int64)
 
 
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _by_node(search, schema: pa.Schema):
-    """Rows (node, id, component, sketch) in order of node; ``search`` gives the columns of a node's result."""
+def _by_node(search, schema: pa.Schema, with_sets: bool = False):
+    """Rows (node, id, component, sketch, and sets where asked) in order of node; ``search`` gives the columns of a
+    node's result."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple[np.ndarray, ...] | None = None
 
-        def flush(nodes, ids, component, sketch):
+        def flush(nodes, ids, component, sketch, *sets):
             border = np.flatnonzero(np.diff(nodes)) + 1
             found = []
             for i, j in zip([0, *border.tolist()], [*border.tolist(), len(nodes)], strict=True):
                 if j - i > 1:
-                    found += search(int(nodes[i:i + 1].view(np.uint64)[0]), ids[i:j], component[i:j], sketch[i:j])
+                    found += search(int(nodes[i:i + 1].view(np.uint64)[0]), ids[i:j], component[i:j], sketch[i:j], *(x[i:j] for x in sets))
             if found:
                 yield batch(schema, [np.concatenate(x) for x in zip(*found, strict=True)])
 
         for b in batches:
             now = (*(np.asarray(b.column(i)) for i in range(3)),
                    np.frombuffer(b"".join(b.column(3).to_pylist()), np.uint8).reshape(-1, COORDINATES))
+            if with_sets:
+                own = np.empty(len(now[0]), object)
+                own[:] = [np.frombuffer(x, np.uint64) for x in b.column(4).to_pylist()]
+                now = (*now, own)
             held = now if held is None else tuple(np.concatenate(x) for x in zip(held, now, strict=True))
             last = int(np.searchsorted(held[0], held[0][-1]))  # the last node may go on in the next batch
             if last:
@@ -251,8 +298,24 @@ def _by_node(search, schema: pa.Schema):
 
 _STARS = pa.schema([("id", pa.int64()), ("middle", pa.int64()), ("alike", pa.float64())])
 _star_search = _by_node(lambda node, ids, component, sketch: [star(ids, sketch)], _STARS)
-_full_search = _by_node(lambda node, ids, component, sketch: [
-    (np.minimum(a, b), np.maximum(a, b)) for a, b in compare_node(node, ids, sketch, component)], _PAIRS)
+_INVOLVED = pa.schema([("node", pa.int64()), ("id", pa.int64())])
+
+
+def _involved_rows(node, ids, component, sketch):
+    found = involved(node, ids, component, sketch)
+    return [(np.full(len(found), np.uint64(node)).view(np.int64), found)]
+
+
+_involved_search = _by_node(_involved_rows, _INVOLVED)
+_forest_search = _by_node(lambda node, ids, component, sketch, sets: [forest(node, ids, component, sketch, list(sets))], _PAIRS, True)
+
+
+def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([("id", pa.int64()), ("shingles", pa.binary())])
+    for b in batches:
+        for first, hashes, border in shingle_sets(b.column(1)):
+            n = len(border) - 1
+            yield batch(schema, [b.column(0).slice(first, n), [np.unique(hashes[border[d]:border[d + 1]]).tobytes() for d in range(n)]])
 
 
 def _first_nodes(trees: int):
@@ -327,8 +390,10 @@ def links(classes: DataFrame, docs: DataFrame, trees: int = TREES, task_members:
         return none
     sketches = written(classes.select("rep", "sig").mapInArrow(_cut_sketch, "id long, sketch binary"), "near-sketches")
 
-    def search(rows: DataFrame, how, schema: str) -> DataFrame:
+    def search(rows: DataFrame, how, schema: str, sets: DataFrame | None = None) -> DataFrame:
         rows = rows.join(sketches, "id").select("node", "id", "component", "sketch")
+        if sets is not None:
+            rows = rows.join(sets, "id").select("node", "id", "component", "sketch", "shingles")
         return rows.repartition("node").sortWithinPartitions("node").mapInArrow(how, schema)
 
     found = search(members.withColumn("component", F.col("id")), _star_search, "id long, middle long, alike double")
@@ -344,14 +409,21 @@ def links(classes: DataFrame, docs: DataFrame, trees: int = TREES, task_members:
     labelled = written(labelled, "near-labelled")
     mixed = labelled.groupBy("node").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x < y").select("node")
     rest = labelled.join(written(mixed, "near-mixed"), "node")
-    pairs = search(rest, _full_search, "a long, b long").distinct()
-    more = found.select(F.least("id", "middle").alias("a"), F.greatest("id", "middle").alias("b"))
+    near = written(search(rest, _involved_search, "node long, id long"), "near-involved")
+    near = written(near.join(labelled, ["node", "id"]), "near-compared")
+    ends = written(near.select(F.col("id").alias("doc_id")).distinct(), "near-compared-ids")
+    few = ends.count() <= BROADCAST_IDS
+    sets = written(docs.join(F.broadcast(ends) if few else ends, "doc_id", "left_semi").select("doc_id", "text")
+                   .mapInArrow(_full_sets, "id long, shingles binary").filter(F.length("shingles") > 0), "near-full-sets")
+    joined = first.unionByName(written(search(near, _forest_search, "a long, b long", sets).distinct(), "near-forest"))
     if stars:  # pairs with the pivots of large nodes, where they still are across components
         ends = known.select("node", "component")
+        more = found.select(F.least("id", "middle").alias("a"), F.greatest("id", "middle").alias("b"))
         more = more.join(ends.select(F.col("node").alias("a"), F.col("component").alias("ca")), "a", "left").join(
             ends.select(F.col("node").alias("b"), F.col("component").alias("cb")), "b", "left")
-        pairs = pairs.unionByName(more.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")).distinct()
-    return first.unionByName(confirm(pairs, docs))
+        more = more.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b").distinct()
+        joined = joined.unionByName(confirm(more, docs))
+    return joined
 
 
 def _cut_sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

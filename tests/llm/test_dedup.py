@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 from helpers import awkward_rows, documents, words
@@ -73,7 +74,6 @@ def near_expected(rows):
 
 
 def copies(n, edits, seed):
-    import random
     r = random.Random(seed)
     base = [f"w{r.randint(0, 400)}" for _ in range(120)]
     out = []
@@ -94,6 +94,56 @@ def test_near_duplicates_match_brute_force(spark):
     assert Counter(map(tuple, near_dedup.near_duplicates(docs, task_members=30).collect())) == expected
 
 
+def test_a_large_group_next_to_the_threshold(spark):
+    """Some thousand variants of one text, most pairs at a similarity of 0.6 to 0.85: recall of linked documents."""
+    import numpy as np
+
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(1500):
+        w = list(base)
+        for _ in range(r.randint(0, 6)):
+            w[r.randrange(150)] = f"e{r.randint(0, 99999)}"
+        rows.append((i, " ".join(w), "en", "s"))
+    sets = [shingles(t) for _, t, *_ in rows]
+    number: dict = {}
+    have = np.zeros((len(sets), 400_000), np.float32)
+    for i, x in enumerate(sets):
+        have[i, [number.setdefault(h, len(number)) for h in x]] = 1
+    have = have[:, :len(number)]
+    both, n = have @ have.T, np.array([len(x) for x in sets])
+    linked = 100 * both >= 75 * (n[:, None] + n[None, :] - both)
+    assert 0.1 < ((100 * both >= 65 * (n[:, None] + n[None, :] - both)) & ~linked).mean() and 0.1 < linked.mean() < 0.9
+    component = np.arange(len(sets))
+    while True:
+        new = np.where(linked, component[None, :], len(sets)).min(1)
+        if (new == component).all():
+            break
+        component = new
+    got = {x.doc_id: x.component_id for x in near_dedup.near_duplicates(documents(spark, rows)).collect()}
+    assert all(got[i] >= c for i, c in enumerate(component))  # nothing is linked that is not
+    assert np.mean([got[i] == c for i, c in enumerate(component)]) >= 0.99
+
+
+def test_a_node_emits_a_forest_and_keeps_the_callers_cache(spark):
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    ids = np.arange(300) * 7
+    sets = [np.unique(np.append(r.choice(10_000, 4), np.arange(40))).astype(np.uint64) for _ in ids]
+    sketch = r.integers(0, 3, size=(300, near_dedup.COORDINATES)).astype(np.uint8)
+    a, b = near_dedup.forest(5, ids, ids, sketch * 0, sets)
+    assert len(a) == 299 and (a < b).all() and set(a) | set(b) == set(ids)
+    exact = np.array([[len(np.intersect1d(x, y)) for y in sets[:40]] for x in sets[:40]])
+    assert ((near_dedup.overlaps(sets[:40]) == exact) | np.eye(40, dtype=bool)).all()
+    held = spark.range(10).cache()
+    held.count()
+    components(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long"))
+    assert held.storageLevel.useMemory
+    held.unpersist()
+
+
 def removal_expected(rows, k):
     texts = [words(t) for _, t, *_ in rows]
     seen = Counter(tuple(w[i:i + k]) for w in texts for i in range(len(w) - k + 1))
