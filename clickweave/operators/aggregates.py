@@ -91,28 +91,52 @@ def mode_table(df: DataFrame, group: Sequence[str], value: str, name: str | None
     return best.select(*group, F.col("__m.v").alias(name))
 
 
+def _long_values(df: DataFrame, group: Sequence[str], columns: Sequence[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """One narrow record (group, __i, typed slots) per row and column, NULL values included.
+
+    One slot per value type, so values are counted and compared in their own
+    type.  Returns the records, all slots, and the slot of each column."""
+    types = dict(df.dtypes)
+    kinds = sorted({types[c] for c in columns})
+    slots = [f"__v{i}" for i in range(len(kinds))]
+    entries = []
+    for i, c in enumerate(columns):
+        values = [(F.col(c) if types[c] == kind else F.lit(None).cast(kind)).alias(slot) for kind, slot in zip(kinds, slots)]
+        entries.append(F.struct(F.lit(i).alias("__i"), *values))
+    long = df.select(*group, F.explode(F.array(*entries)).alias("__e")).select(*group, "__e.*")
+    return long, slots, [slots[kinds.index(types[c])] for c in columns]
+
+
+def distinct_counts_table(df: DataFrame, group: Sequence[str], columns: Sequence[tuple[str, str]]) -> DataFrame:
+    """Exact distinct non-NULL values of several columns per group: ``columns`` = [(source, output)].
+
+    Several ``count(distinct)`` in one aggregate repeat every wide row once per
+    column.  Here only the group and the values are repeated; equal (group,
+    column, value) records meet in a grouped aggregate, partially before any
+    shuffle, and the rest is a conditional count.  A group whose values are all
+    NULL has 0; a NULL in the group keys is a group of its own, as in
+    ``groupBy``.
+    """
+    group = list(group)
+    long, slots, slot_of = _long_values(df, group, [src for src, _ in columns])
+    seen = long.groupBy(*group, "__i", *slots).agg(F.lit(1).alias("__one"))
+    return seen.groupBy(*group).agg(*[
+        F.count(F.when(F.col("__i") == i, F.col(slot_of[i]))).alias(name) for i, (_, name) in enumerate(columns)])
+
+
 def modes_table(df: DataFrame, group: Sequence[str], columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Modes of several columns at once: ``columns`` = [(source, output)].
 
-    Each row is expanded to one record per column, with one slot per value
-    type, so values are counted and compared in their own type; then one
-    grouped count per (group, column, value), and one grouped minimum of
-    (-count, value) per group and column.  Same rule as ``mode_table``: most
-    frequent non-NULL value, smallest on ties; NULL when a column has no
-    value in the group.
+    Each row is expanded to one record per column; then one grouped count per
+    (group, column, value), and one grouped minimum of (-count, value) per
+    group and column.  Same rule as ``mode_table``: most frequent non-NULL
+    value, smallest on ties; NULL when a column has no value in the group.
     """
     group = list(group)
-    types = dict(df.dtypes)
-    kinds = sorted({types[src] for src, _ in columns})
-    slots = [f"__v{i}" for i in range(len(kinds))]
-    entries = []
-    for i, (src, _) in enumerate(columns):
-        values = [(F.col(src) if types[src] == kind else F.lit(None).cast(kind)).alias(slot) for kind, slot in zip(kinds, slots)]
-        entries.append(F.when(F.col(src).isNotNull(), F.struct(F.lit(i).alias("__i"), *values)))
-    long = df.select(*group, F.explode(F.array(*entries)).alias("__e")).filter(F.col("__e").isNotNull())
-    long = long.select(*group, "__e.*")
-    counts = long.groupBy(*group, "__i", *slots).agg(F.count(F.lit(1)).alias("__n"))
+    long, slots, slot_of = _long_values(df, group, [src for src, _ in columns])
+    filled = long.filter(" or ".join(f"{s} is not null" for s in slots))
+    counts = filled.groupBy(*group, "__i", *slots).agg(F.count(F.lit(1)).alias("__n"))
     best = counts.groupBy(*group).agg(*[
-        F.min(F.when(F.col("__i") == i, F.struct((-F.col("__n")).alias("n"), F.col(slots[kinds.index(types[src])]).alias("v")))).alias(f"__m{i}")
-        for i, (src, _) in enumerate(columns)])
+        F.min(F.when(F.col("__i") == i, F.struct((-F.col("__n")).alias("n"), F.col(slot_of[i]).alias("v")))).alias(f"__m{i}")
+        for i in range(len(columns))])
     return best.select(*group, *[F.col(f"__m{i}.v").alias(name) for i, (_, name) in enumerate(columns)])

@@ -33,6 +33,7 @@ from clickweave.functions.gaps import ratio, second_difference, step_gap, total_
 from clickweave.operators.aggregates import (
     count_distinct,
     count_rows,
+    distinct_counts_table,
     join_back,
     modes_table,
     stat_columns,
@@ -162,9 +163,10 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
     """All grouped view-log features (A2, A3, A5, A7, log count).
 
     ``log`` is ``prepare_log(join_items(...))``.  The lagged log is persisted
-    while its three aggregates run (per user; per (user, date / weekday /
-    hour) in one expanded aggregate; all modes in one long-format pass), then
-    each table is lineage-cut and the cache released.
+    while its aggregates run on the user layout: statistics per user and per
+    (user, date) and (user, weekday) read the wide rows once each and repeat
+    none of them; modes and exact distinct counts repeat only keys and values.
+    Then each table is lineage-cut and the cache released.
     """
     log = log.filter(F.col(U).isNotNull())  # every table is keyed by user, and a missing user is no group
     split = split_hot(log, [U], cfg.hot_rows)
@@ -185,10 +187,6 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
             *[c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", f"user_time_diff{k}_log")],
             *[c for k in range(1, cfg.price_lags + 1)
               for c in stat_columns(f"user_price_diff{k}", f"user_price_diff{k}_log", seconds=False)],
-            count_distinct("device_type", "device_uniq"),
-            count_distinct("session_id", "sess_uniq"),
-            count_distinct("item_id", "item_uniq"),
-            count_distinct("server_time_date", "ser_dat_user_uniq"),
             count_distinct("server_timeWeek", "ser_wk_user_uniq", bounded=True),
             count_distinct("server_timeDayofweek", "ser_daywk_user_uniq", bounded=True),
             count_distinct("server_timeHour", "ser_hr_user_uniq", bounded=True),
@@ -199,36 +197,24 @@ def log_features(log: DataFrame, cfg: FeatureConfig) -> LogTables:
             ("server_timeDayofweek", "server_timeDayofweek_mode"),
             ("server_timeHour", "server_timeHour"),
         ]
-        per_user = cut_lineage(per_user.join(modes_table(gapped, [U], modes), U, "left"))
-
-        # (user, date), (user, weekday), (user, hour): one expanded aggregate
-        views = F.array(
-            F.struct(F.lit(0).alias("v"), F.col("server_time_date").cast("string").alias("key")),
-            F.struct(F.lit(1).alias("v"), F.col("server_timeDayofweek").cast("string").alias("key")),
-            F.struct(F.lit(2).alias("v"), F.col("server_timeHour").cast("string").alias("key")),
-        )
-        keyed = gapped.select(U, "session_id", "item_id", *diffs, F.explode(views).alias("e")).select(
-            U, "session_id", "item_id", *diffs, "e.v", "e.key")
-        stats = [c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", f"__s{k}")]
-        both = keyed.groupBy(U, "v", "key").agg(
-            *stats, count_distinct("session_id", "__sess"), count_distinct("item_id", "__item"))
-        both = cut_lineage(both)
+        uniques = distinct_counts_table(gapped, [U], [
+            ("device_type", "device_uniq"), ("session_id", "sess_uniq"), ("item_id", "item_uniq"),
+            ("server_time_date", "ser_dat_user_uniq")])
+        per_user = cut_lineage(join_back(join_back(per_user, uniques, [U]), modes_table(gapped, [U], modes), [U]))
+
+        def keyed(key: str, prefix: str | None, sess: str, item: str) -> DataFrame:
+            rows = gapped.filter(F.col(key).isNotNull())
+            out = distinct_counts_table(rows, [U, key], [("session_id", sess), ("item_id", item)])
+            if prefix:
+                stats = [c for k in range(1, cfg.time_lags + 1) for c in stat_columns(f"__log_d{k}", prefix.format(k=k))]
+                out = join_back(rows.groupBy(U, key).agg(*stats), out, [U, key])
+            return cut_lineage(out)
+
+        user_date = keyed("server_time_date", "user_date_time_diff{k}_log", "user_date_sess_uniq", "user_date_item_uniq")
+        user_dow = keyed("server_timeDayofweek", "user_daywk_diff{k}_log", "user_daywk_sess_uniq", "user_daywk_item_uniq")
+        user_hour = keyed("server_timeHour", None, "user_hr_sess_uniq", "user_hr_item_uniq")
     finally:
         gapped.unpersist()
-
-    def view(v: int, key: str, key_type: str, prefix: str | None, sess: str, item: str) -> DataFrame:
-        cols = [F.col("key").cast(key_type).alias(key)]
-        if prefix:
-            for k in range(1, cfg.time_lags + 1):
-                cols += [F.col(f"__s{k}_{st}").alias(f"{prefix.format(k=k)}_{st}") for st in ("min", "max", "mean", "std")]
-        cols += [F.col("__sess").alias(sess), F.col("__item").alias(item)]
-        return both.filter(F.col("v") == v).select(U, *cols)
-
-    user_date = view(0, "server_time_date", "date", "user_date_time_diff{k}_log", "user_date_sess_uniq",
-                     "user_date_item_uniq")
-    user_dow = view(1, "server_timeDayofweek", "int", "user_daywk_diff{k}_log", "user_daywk_sess_uniq",
-                    "user_daywk_item_uniq")
-    user_hour = view(2, "server_timeHour", "int", None, "user_hr_sess_uniq", "user_hr_item_uniq")
     return LogTables(per_user, user_date, user_dow, user_hour)
 
 

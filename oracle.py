@@ -12,6 +12,7 @@ exact decimal ties off the rounding boundary in both engines alike.
 from __future__ import annotations
 
 from bindings import cte_prefix
+from clickweave.plans.matrix import feature_names
 
 STATS = ("min", "max", "mean", "std")
 
@@ -530,11 +531,27 @@ ENC_BATCHES = {
     "enc_batch_categories": [["category_3", "server_timeDay"], ["category_3"], ["category_2"]],
 }
 
+#: Key sets of counted features, by query: the counts come from their own plain definitions.
+ENC_COUNT_BATCHES = {
+    "enc_batch_counts": [["app_impression_count"], ["user_week_impcnt"], ["user_app_hr_impcnt"], ["user_app_min_impcnt"]],
+    "enc_batch_distinct": [["user_day_unicount"], ["user_daywk_unicount"], ["user_moe_unicount"], ["user_mos_unicount"],
+                           ["user_hr_unicount"], ["user_min_unicount"]],
+    "enc_batch_log_counts": [["user_date_item_uniq"], ["user_hr_item_uniq"], ["user_hr_sess_uniq"], ["item_uniq"],
+                             ["user_daywk_item_uniq"]],
+}
 
-def q_enc_batch(key_sets: list[list[str]]) -> str:
-    joined = [(i, name) for i, (_, name) in enumerate(MODE_COLS)]
-    ctes = [*_mode_ctes(), f"impm as (select imp.*, {', '.join(f'm{i}.{n}' for i, n in joined)} from imp "
-            + " ".join(f"left join m{i} on imp.user_id = m{i}.user_id" for i, _ in joined) + ")"]
+#: Queries that define the counted features: (SQL, key).
+COUNT_SOURCES = {
+    "enc_batch_counts": [(q_imp_counts, "impression_id")],
+    "enc_batch_distinct": [(q_imp_nunique_user, "impression_id")],
+    "enc_batch_log_counts": [(q_log_nunique_user, "user_id"), (q_log_nunique_user_date, "impression_id"),
+                             (q_log_nunique_user_dow, "impression_id"), (q_log_nunique_user_hour, "impression_id")],
+}
+
+
+def _enc_batch(key_sets: list[list[str]], source_ctes: list[str]) -> str:
+    """Encodings of the key sets over the table ``impm`` that ``source_ctes`` define."""
+    ctes = [*source_ctes]
     cols = []
     joins = []
     for i, keys in enumerate(key_sets):
@@ -548,6 +565,37 @@ def q_enc_batch(key_sets: list[list[str]]) -> str:
         f"select x.impression_id, {', '.join(cols)} from impm x {' '.join(joins)}")
 
 
+def q_enc_batch(key_sets: list[list[str]]) -> str:
+    joined = [(i, name) for i, (_, name) in enumerate(MODE_COLS)]
+    return _enc_batch(key_sets, [*_mode_ctes(), f"impm as (select imp.*, {', '.join(f'm{i}.{n}' for i, n in joined)} from imp "
+                      + " ".join(f"left join m{i} on imp.user_id = m{i}.user_id" for i, _ in joined) + ")"])
+
+
+def q_enc_count_batch(name: str) -> str:
+    joins = " ".join(f"left join ({sql()}) c{i} on imp.{key} = c{i}.{key}" for i, (sql, key) in enumerate(COUNT_SOURCES[name]))
+    cols = [c for keys in ENC_COUNT_BATCHES[name] for c in keys]
+    return _enc_batch(ENC_COUNT_BATCHES[name], [f"impm as (select imp.*, {', '.join(cols)} from imp {joins})"])
+
+
+def q_model_matrix() -> str:
+    """All features by their own plain definitions, put side by side."""
+    by_row = [q_factorize_os, q_imp_time_lags, q_imp_gap_stats_user, q_imp_gap_stats_user_app,
+              q_imp_gap_stats_user_app_dow, q_log_gap_stats_user_date, q_log_gap_stats_user_dow, q_log_nunique_user_date,
+              q_log_nunique_user_dow, q_log_nunique_user_hour, q_imp_counts, q_log_ratios, q_imp_ratios, q_imp_count_lags,
+              q_imp_cumcounts, q_imp_nunique_user, q_imp_nunique_user_app, q_imp_time_range,
+              *[lambda k=k: q_enc_batch(k) for k in ENC_BATCHES.values()],
+              *[lambda n=n: q_enc_count_batch(n) for n in ENC_COUNT_BATCHES]]
+    by_user = [q_log_gap_stats_user, q_log_nunique_user, q_log_count_user, q_log_price_gap_stats_user, q_log_mode_user]
+    joins = [f"left join ({sql()}) r{i} on r{i}.impression_id = i.impression_id" for i, sql in enumerate(by_row)]
+    joins += [f"left join ({sql()}) u{i} on u{i}.user_id = i.user_id" for i, sql in enumerate(by_user)]
+    own = ["impression_id", "user_id", "app_code", "is_4G", "train_set", "impression_date",
+           *[c for c in feature_names() if c.startswith("impression_time") and not c.endswith("enc")]]
+    rest = [c for c in feature_names() if c not in own]
+    return _with(IMP) + (
+        f"select {', '.join(f'i.{c}' for c in own)}, case when i.train_set = 1 then i.is_click end as is_click, "
+        f"{', '.join(rest)} from (select {', '.join(own)}, is_click from imp) i {' '.join(joins)}")
+
+
 def q_fold_sizes() -> str:
     return _with(IMP, FOLDS) + """select f.d as impression_date,
       cast(count(t.impression_id) filter (where t.impression_date = f.d) as bigint) as n_valid,
@@ -656,6 +704,8 @@ QUERIES = {
     "enc_sum_train": q_enc("sum", "tr"),
     "enc_sum_test": q_enc("sum", "te"),
     **{name: (lambda keys=keys: q_enc_batch(keys)) for name, keys in ENC_BATCHES.items()},
+    **{name: (lambda name=name: q_enc_count_batch(name)) for name in ENC_COUNT_BATCHES},
+    "model_matrix": q_model_matrix,
     "fold_sizes": q_fold_sizes,
     "timeseries_split": q_timeseries_split,
     "timeseries_split_gaps": q_timeseries_split_gaps,
