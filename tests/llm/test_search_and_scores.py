@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import awkward_rows, documents, words
 from pyspark.sql import functions as F
@@ -243,3 +244,41 @@ def test_ordinary_words_around_a_notice(spark, monkeypatch, broadcast):
 def test_deciding_terms_bound_the_cosine():
     v = {"a": 0.8, "b": 0.5, "c": math.sqrt(1 - 0.64 - 0.25)}
     assert licenses.deciding_terms([v], 0.6) == {"a", "b"} and licenses.deciding_terms([v], 0.61) == {"a"}
+
+
+def test_language_model_scores_do_not_depend_on_the_layout(spark, monkeypatch):
+    monkeypatch.setattr(context_mixing, "LEARN_ROWS", 40)  # several blocks of words
+    docs = documents(spark, awkward_rows())
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    got = []
+    try:
+        for n in (3, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got.append(sorted((tuple(r) for r in context_mixing.scores(docs.repartition(n)).collect()), key=str))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    assert got[0] == got[1] and len(got[0]) == len(awkward_rows())
+
+
+def test_counts_of_bits_above_32_bits():
+    rows = [(b"the", 0, 5_000_000_000), (b"then", 0, 3), (b"the", 1, 4_000_000_000), (b"a", 0, 7_000_000_001)]
+    schema = pa.schema([("word", pa.binary()), ("class", pa.int32()), ("c", pa.int64())])
+    pieces = []
+    for part in (rows[:2], rows[2:], rows):  # three tasks
+        b = pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*part), schema, strict=True)], schema=schema)
+        pieces += [r for out in context_mixing._count_bits(iter([b])) for r in out.to_pylist()]
+    pieces.sort(key=lambda r: r["chunk"])
+    columns = list(zip(*[tuple(r.values()) for r in pieces]))
+    merged = pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, context_mixing._PIECE, strict=True)], schema=context_mixing._PIECE)
+    total = np.zeros(2)
+    for out in context_mixing._add_pieces(iter([merged])):
+        for r in out.to_pylist():
+            n = len(r["slots"]) // 2
+            total += [context_mixing._read_numbers(r[k], n).sum() for k in ("zeros", "ones")]
+    bits = [0, 0]
+    for word, _, c in rows:
+        for byte in word + b" ":
+            ones = bin(byte).count("1")
+            bits[0] += 2 * c * (8 - ones)
+            bits[1] += 2 * c * ones
+    assert total.tolist() == [x * len(context_mixing.SLOTS) for x in bits]
