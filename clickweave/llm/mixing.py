@@ -5,8 +5,8 @@ release time floor(i * Q / a) and deadline ceil((i + 1) * Q / a).  In every
 slot the released block with the earliest deadline runs (ties: heavier
 weight, then source order), so after any number of slots t each source has
 had its share t * a / Q up to less than one block.  The schedule repeats
-after Q slots; the shorter of one period and the mix is computed as a fold
-over an array and every block takes its slot from it by arithmetic.
+after Q slots; the shorter of one period and the mix is computed in segments
+that run side by side, and every block takes its slot from it by arithmetic.
 
 The integer weights are as fine as the mix is long (Q of about 2^40, less
 where block times Q would not fit 64 bits), so that they leave the given
@@ -27,9 +27,9 @@ are rows like others; an empty table gives an empty result.
 
 Scale: rows are ranked inside (source, digest prefix) buckets, with running
 offsets from the bucket counts, so that no source meets in one task.  The
-schedule is made slot by slot in one task, with one row per slot of the mix (a
-block of rows), or with ``resolution`` O(resolution + 4 * sources) rows; a mix
-of more than ``MAX_SLOTS`` slots is an error.
+schedule has one row per slot (a block of rows); its segments are folds over
+``SEGMENT`` slots each (or as many as there are sources), rows like others.
+Work per slot grows with the number of sources.
 """
 
 from __future__ import annotations
@@ -45,12 +45,10 @@ from clickweave.llm.common import written
 
 #: Exponent of the sizes in the default weights (1: as given; 0: all sources alike).
 ALPHA = 0.7
-#: Slots that weights are rounded to in ORACLE_SQL, where there are fewer sources than a quarter of it.
-RESOLUTION = 1024
 #: Largest number of slots where weights are not rounded to one, and the largest product of blocks and slots.
 FINEST, LARGEST = 1 << 40, 1 << 60
-#: Slots of the schedule made in one array, slots of a schedule at most, and slots that are broadcast at most.
-CHUNK, MAX_SLOTS, BROADCAST_SLOTS = 256, 1 << 27, 100_000
+#: Slots of the schedule made in one array, slots of a segment, and slots that are broadcast at most.
+CHUNK, SEGMENT, BROADCAST_SLOTS = 64, 4096, 100_000
 BLOCK_ROWS = 8
 #: Rows of one ranking bucket, about.
 BUCKET_ROWS = 4096
@@ -81,39 +79,94 @@ def source_weights(counts: DataFrame, weights: dict | None = None, alpha: float
         "source", "n", F.greatest(F.lit(1), F.round(F.col("w") / F.col("total") * F.col("r"))).cast("long").alias("a"))
 
 
-def pfair_period(weights: DataFrame, slots: int | None = None) -> DataFrame:
-    """One period of the schedule, or its first ``slots`` slots: ``source, a, q, j, slot`` for block j of a source within the period.
+def _quotient(x: Column, y: Column) -> Column:
+    return F.call_function("div", x, y)
+
+
+def _job(i: Column, j: Column, a: Column) -> Column:
+    """Block j of source i, in the order of the schedule: deadline, heavier weight, source; and its release."""
+    q = F.col("q")
+    return F.struct(_quotient((j + 1) * q + a - 1, a).alias("d"), (-a).alias("h"), i.alias("i"), j.alias("j"), _quotient(j * q, a).alias("r"))
+
+
+def _assumed(segments: DataFrame, length: int) -> DataFrame:
+    """``done`` per source where segment k begins: the whole blocks of its share and, of the begun ones, those due first."""
+    at = F.col("k") * length
+    rows = segments.withColumn("whole", F.transform("a", lambda a: _quotient(at * a, F.col("q"))))
+    rows = rows.withColumn("more", (at - F.aggregate("whole", F.lit(0).cast("long"), lambda x, y: x + y)).cast("int"))
+    begun = F.transform("a", lambda a, i: F.when((at * a) % F.col("q") > 0, _job(i, F.get("whole", i), a)))
+    rows = rows.withColumn("begun", begun).withColumn("order", F.sort_array(F.filter("begun", lambda x: x.isNotNull())))
+    rows = rows.withColumn("last", F.get("order", F.col("more") - 1))
+    return rows.select("k", "q", "a", F.transform("whole", lambda x, i: x + F.when(
+        (F.col("more") > 0) & (F.get("begun", i) <= F.col("last")), 1).otherwise(0)).alias("done"))
 
-    The fold's state holds, per source, the number of blocks run so far; each
-    slot picks the smallest (deadline, -weight, index) among released blocks.
-    """
-    listed = weights.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "a"))).alias("s"), F.sum("a").alias("q"))
-    listed = listed.filter(F.col("q").isNotNull()).withColumn("m", F.col("q") if slots is None else F.least("q", F.lit(slots).cast("long")))
 
-    def ceil_div(x: Column, y: Column) -> Column:
-        return F.call_function("div", x + y - 1, y)
+def _run(segments: DataFrame, length: int, total: int) -> DataFrame:
+    """``k, done, ended, chunks``: each segment's slots in order, from ``done`` blocks per source to ``ended``."""
 
     def step(acc: Column, t: Column) -> Column:
-        keys = F.transform(F.arrays_zip(acc["done"].alias("done"), F.col("a").alias("a"), F.sequence(F.lit(0), F.size("s") - 1).alias("i")), lambda x: F.when(
-            x["done"] * F.col("q") < (t + 1) * x["a"], F.struct(ceil_div((x["done"] + 1) * F.col("q"), x["a"]).alias("d"), (-x["a"]).alias("h"), x["i"].alias("i"))))
-        pick = F.array_min(F.filter(keys, lambda k: k.isNotNull()))["i"]
+        pick = F.array_min(F.filter(acc["jobs"], lambda x: x["r"] <= t))
         # bound to a variable, or it is worked out again for each source
         return F.transform(F.array(pick), lambda p: F.struct(
-            F.transform(acc["done"], lambda x, i: F.when(i == p, x + 1).otherwise(x)).alias("done"),
-            F.concat(acc["runs"], F.array(F.struct(p.alias("i"), F.get(acc["done"], p).alias("j")))).alias("runs")))[0]
+            F.transform(acc["jobs"], lambda x: F.when(x["i"] == p["i"], _job(x["i"], x["j"] + 1, -x["h"])).otherwise(x)).alias("jobs"),
+            F.concat(acc["runs"], F.array(F.struct(p["i"].alias("i"), p["j"].alias("j")))).alias("runs")))[0]
 
-    def chunk(acc: Column, k: Column) -> Column:  # short arrays, since each slot copies what it appends to
+    def chunk(acc: Column, c: Column) -> Column:  # short arrays, since each slot copies what it appends to
         none = F.array().cast("array<struct<i:int,j:bigint>>")
-        made = F.aggregate(F.sequence(k * CHUNK, F.least((k + 1) * CHUNK, F.col("m")) - 1),
-                           F.struct(acc["done"].alias("done"), none.alias("runs")), step)
-        return F.struct(made["done"].alias("done"), F.concat(acc["chunks"], F.array(made["runs"])).alias("chunks"))
+        made = F.aggregate(F.sequence(c, F.least(c + CHUNK, F.col("until")) - 1), F.struct(acc["jobs"].alias("jobs"), none.alias("runs")), step)
+        return F.transform(F.array(made), lambda m: F.struct(
+            m["jobs"].alias("jobs"), F.concat(acc["chunks"], F.array(m["runs"])).alias("chunks")))[0]
 
-    state = F.struct(F.transform("s", lambda x: F.lit(0).cast("long")).alias("done"), F.array().cast("array<array<struct<i:int,j:bigint>>>").alias("chunks"))
-    folded = listed.withColumn("a", F.transform("s", lambda x: x["a"])).withColumn(
-        "chunks", F.aggregate(F.sequence(F.lit(0).cast("long"), F.expr(f"(m - 1) div {CHUNK}")), state, chunk, lambda acc: acc["chunks"]))
-    runs = folded.select("s", "q", F.posexplode("chunks").alias("k", "runs")).select("s", "q", "k", F.posexplode("runs").alias("at", "run"))
-    return runs.select(F.expr("s[run.i].source").alias("source"), F.expr("s[run.i].a").alias("a"), "q",
-                       F.col("run.j").alias("j"), (F.col("k").cast("long") * CHUNK + F.col("at")).alias("slot"))
+    rows = segments.withColumn("since", F.col("k") * length).withColumn("until", F.least(F.col("since") + length, F.lit(total)))
+    first = F.struct(F.transform("done", lambda x, i: _job(i, x, F.get("a", i))).alias("jobs"),
+                     F.array().cast("array<array<struct<i:int,j:bigint>>>").alias("chunks"))
+    rows = rows.withColumn("made", F.aggregate(F.sequence("since", F.col("until") - 1, F.lit(CHUNK).cast("long")), first, chunk))
+    return rows.select("k", "done", F.transform("made.jobs", lambda x: x["j"]).alias("ended"), F.col("made.chunks").alias("chunks"))
+
+
+def pfair_period(weights: DataFrame, slots: int | None = None) -> DataFrame:
+    """One period of the schedule, or its first ``slots`` slots: ``source, a, q, j, slot`` for block j of a source within the period.
+
+    Segments of slots run side by side from assumed beginnings.  A segment
+    that ends otherwise than the next one began makes that one run again from
+    there, until all fit; the rows are those of one run from slot 0.  Two runs
+    from different beginnings agree from the last deadline on in which these
+    differ, so that mostly one or two rounds do; each makes at least one more
+    segment final.
+    """
+    spark = weights.sparkSession
+    listed = written(weights.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "a"))).alias("s"), F.sum("a").alias("q"),
+                                           F.count("*").alias("n")).filter("q IS NOT NULL"), "mix-sources")
+    size = listed.select("q", "n").first()
+    if size is None:
+        return spark.createDataFrame([], "source string, a long, q long, j long, slot long")
+    total = size.q if slots is None else min(size.q, slots)
+    length = max(SEGMENT, size.n)  # the beginnings of all segments are no more numbers than there are slots
+    count = -(-total // length)
+    tasks = min(count, 4 * spark.sparkContext.defaultParallelism)
+    sources = F.broadcast(listed.select("q", F.transform("s", lambda x: x["a"]).alias("a")))  # one row
+    todo, rounds = _assumed(spark.range(0, count, 1, tasks).withColumnRenamed("id", "k").join(sources), length), []
+    while True:
+        made = written(_run(todo, length, total), "mix-segments")
+        rounds.append(made)
+        state = made.select("k", "done", "ended")
+        if len(rounds) > 1:
+            state = latest.join(made, "k", "left_anti").unionByName(state)
+        latest = written(state, "mix-state")
+        ends = latest.select((F.col("k") + 1).alias("k"), F.col("ended").alias("begin"))
+        wrong = latest.join(ends, "k").filter("done <> begin").select("k", F.col("begin").alias("done"))
+        wrong = written(wrong, "mix-again")
+        if wrong.isEmpty():
+            break
+        todo = wrong.repartition(tasks, "k").join(sources)
+
+    final = rounds[-1]
+    for made in reversed(rounds[:-1]):
+        final = final.unionByName(made.join(final.select("k"), "k", "left_anti"))
+    runs = final.select("k", F.posexplode("chunks").alias("c", "runs")).select("k", "c", F.posexplode("runs").alias("at", "run")).select(
+        F.col("run.i").alias("i"), F.col("run.j").alias("j"), (F.col("k") * length + F.col("c") * CHUNK + F.col("at")).alias("slot"))
+    names = listed.select("q", F.posexplode("s").alias("i", "x")).select("i", F.col("x.source").alias("source"), F.col("x.a").alias("a"), "q")
+    return runs.join(F.broadcast(names) if size.n <= BROADCAST_SLOTS else names, "i").select("source", "a", "q", "j", "slot")
 
 
 def _places(docs: DataFrame, weights: dict | None, alpha: float, block_rows: int, source_col: str, id_col: str,
@@ -127,8 +180,6 @@ def _places(docs: DataFrame, weights: dict | None, alpha: float, block_rows: int
     length = w.join(F.broadcast(w.agg(F.sum("a").alias("q")))).agg(
         F.max(F.ceil(F.ceil(F.col("n") / block_rows) * (F.col("q") / F.col("a")))) + 1, F.max("q")).first()
     slots = min(length[0] or 0, length[1] or 0)
-    if slots > MAX_SLOTS:
-        raise ValueError(f"the mix has {slots} slots of {block_rows} rows, more than {MAX_SLOTS}")
     period = written(pfair_period(w, slots), "mix-period")
 
     # rank rows inside (source, digest prefix); prefixes of hexadecimal digits in the same order as the digests
@@ -185,22 +236,19 @@ WITH RECURSIVE docs AS (
   SELECT doc_id, source, md5(doc_id::VARCHAR) AS h FROM documents
 ), counts AS (SELECT source, count(*) AS n FROM docs GROUP BY source),
 weighted AS (SELECT source, n, pow(n::DOUBLE, {ALPHA}) AS w FROM counts),
-rounded AS (
-  SELECT source, n, greatest(1, round(w / (SELECT sum(w) FROM weighted)
-         * greatest({RESOLUTION}, 4 * (SELECT count(*) FROM weighted))))::BIGINT AS a FROM weighted
+fine AS (
+  SELECT sum(w) AS total, least({FINEST}, floor({LARGEST} / (max(ceil(n / {BLOCK_ROWS}) / w) * sum(w) + count(*)))) AS r FROM weighted
+), whole AS (
+  SELECT source, n, greatest(1, round(w / total * r))::BIGINT AS a FROM weighted, fine
 ), named AS (
-  SELECT *, (SELECT sum(a) FROM rounded)::BIGINT AS q, row_number() OVER (ORDER BY coalesce('=' || source, 'null')) AS i FROM rounded
-), blocks AS (
-  SELECT i, a, q, unnest(range(a)) AS j FROM named
-), jobs AS (
-  SELECT i, a, j, (j * q) // a AS release, ((j + 1) * q + a - 1) // a AS deadline FROM blocks
+  SELECT *, (SELECT sum(a) FROM whole)::BIGINT AS q, row_number() OVER (ORDER BY coalesce('=' || source, 'null')) AS i FROM whole
 ), run(t, done, i) AS (
   SELECT -1::BIGINT, list_transform(range((SELECT count(*) FROM named)), lambda x: 0::BIGINT), 0::BIGINT
   UNION ALL
   SELECT t + 1, list_transform(done, lambda x, k: CASE WHEN k = pick THEN x + 1 ELSE x END), pick
-  FROM (SELECT t, done, (SELECT arg_min(jobs.i, (deadline, -jobs.a, jobs.i)) FROM jobs
-                         WHERE jobs.j = run.done[jobs.i] AND release <= run.t + 1) AS pick
-        FROM run WHERE t + 1 < (SELECT max(q) FROM named))
+  FROM (SELECT t, done, (SELECT arg_min(named.i, (((run.done[named.i] + 1) * q + a - 1) // a, -a, named.i)) FROM named
+                         WHERE (run.done[named.i] * q) // a <= run.t + 1) AS pick
+        FROM run WHERE t + 1 < (SELECT least(max(q), max(ceil(ceil(n / {BLOCK_ROWS}) * (q / a))) + 1) FROM named))
 ), period AS (
   SELECT i, t AS slot, row_number() OVER (PARTITION BY i ORDER BY t) - 1 AS j FROM run WHERE t >= 0
 ), ending AS (

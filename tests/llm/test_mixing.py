@@ -86,3 +86,26 @@ def test_a_one_row_source_is_within_one_block_of_its_real_weight(spark):
         done[r.source] += 1
         assert all(abs(done[s] - t * n ** 0.7 / total) < 1 + 1e-6 for s, n in sizes.items())
     assert len(got) >= 5000 and done["tiny"] <= 3
+
+
+def plain_schedule(weights, slots):
+    """(source index, block) per slot: the released block with the earliest deadline."""
+    q, done, out = sum(weights), [0] * len(weights), []
+    for t in range(slots):
+        _, _, i = min((-(-(done[i] + 1) * q // a), -a, i) for i, a in enumerate(weights) if done[i] * q // a <= t)
+        out.append((i, done[i]))
+        done[i] += 1
+    return out
+
+
+@pytest.mark.parametrize("weights, segment", [
+    ([999_983, 1, 17, 400, 5_000, 70_001], 16), ([449, 450, 451, 3, 2, 2, 1], 8), ([1] * 9, 9), ([2**39, 2**38 + 1, 12345, 3], 32)])
+def test_segments_give_the_schedule_of_one_run(spark, monkeypatch, weights, segment):
+    monkeypatch.setattr(mixing, "SEGMENT", segment)
+    monkeypatch.setattr(mixing, "CHUNK", 5)
+    slots = min(sum(weights), 700)
+    w = spark.createDataFrame([(f"={i:02}", 1, a) for i, a in enumerate(weights)], "source string, n long, a long")
+    rows = sorted(mixing.pfair_period(w, slots).collect(), key=lambda r: r.slot)
+    assert [r.slot for r in rows] == list(range(slots))
+    assert [(int(r.source[1:]), r.j) for r in rows] == plain_schedule(weights, slots)
+    assert all(r.a == weights[int(r.source[1:])] and r.q == sum(weights) for r in rows)
