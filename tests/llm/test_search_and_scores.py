@@ -163,30 +163,40 @@ def test_sites_shrink_towards_their_parents(spark):
 # ---- licenses --------------------------------------------------------------------------------------
 
 
+WRAPPED = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+MIT_LONG = max(range(len(licenses.TEMPLATES)), key=lambda i: len(licenses.TEMPLATES[i][1]))
+
+
 def license_expected(files, templates, threshold):
     import re
     terms = lambda t: [x for x in re.split(r"[^\w]|_", t.lower()) if x]
     lines = {p: [x for x in (t or "").split("\n") if x.strip(" ")] for p, t in files}
-    vocabulary = {x for _, t in templates for x in terms(t)}
     every = [x for ls in lines.values() for x in ls]
-    df = Counter(t for x in every for t in set(terms(x)) & vocabulary)
+    df = Counter(t for x in every for t in set(terms(x)))
     idf = lambda t: math.log((1 + len(every)) / (1 + df[t])) + 1
     vec = lambda t: {x: c * idf(x) for x, c in Counter(terms(t)).items()}
     size = lambda v: math.sqrt(sum(x * x for x in v.values()))
     own, speaks = {}, {}
+    unit = [{x: w / size(v) for x, w in v.items()} for v in (vec(t) for _, t in templates)]
+    deciding = licenses.deciding_terms(unit, threshold)
     for p, ls in lines.items():
-        best = []
-        for x in ls:
-            v = vec(x)
+        best, covered = [], set()
+        named = re.search(licenses.LICENSE_FILE, p.split("/")[-1])
+        runs = {(i, k) for k in range(1, licenses.HEADER_LINES + 1) for i in range(len(ls) - k + 1)} | ({(0, len(ls))} if named else set())
+        for i, k in runs:
+            v = vec(" ".join(ls[i:i + k]))
             if v:
                 scored = [(round(sum(v.get(t, 0) * w for t, w in u.items()) / size(u) / size(v), 9), n) for n, u in ((n, vec(t)) for n, t in templates)]
                 top = min((-s, n) for s, n in scored)
                 if -top[0] >= threshold:
                     best.append(top)
+                    covered |= {n for n in range(i, i + k) if deciding & set(terms(ls[n]))}
         if best:
             own[p] = (min(best)[1], -min(best)[0])
-            name = p.split("/")[-1]
-            if re.search(licenses.LICENSE_FILE, name) or 2 * len(best) >= len(ls):
+            if named or 2 * len(covered) >= len(ls):
                 speaks.setdefault("/".join(p.split("/")[:-1]), []).append(own[p])
     voice = {}
     for d, xs in speaks.items():
@@ -205,7 +215,9 @@ def test_license_scan_matches_brute_force(spark):
     files = [("a/LICENSE", mit), ("a/b/c/x.txt", "some text\nand more text here"), ("a/b/y.txt", "words\n" + apache + "\nmore\nlines\nhere"),
              ("z/q.txt", "the of this work is"), ("NOTICE", "This work is licensed under the GNU General Public License, version 3."),
              ("z/k/half.txt", apache + "\nbody"), ("z/k/other.txt", ""), ("z/k/none.txt", None), ("z/long.txt", "word " * 20000),
-             ("z/near.txt", "released under a MIT license"), ("top.txt", "plain")]
+             ("z/near.txt", "released under a MIT license"), ("top.txt", "plain"), ("w/gpl.py", WRAPPED + "\n\nimport os\nrun()\n" * 3),
+             ("w/v/COPYING", "Copyright\n\n" + "\n".join(licenses.TEMPLATES[MIT_LONG][1].split(", "))),
+             ("w/cut.py", "# This work is licensed under the GNU\n# General Public License, version 3.\nx = 1\ny = 2\nz = 3")]
     df = spark.createDataFrame([(i, p, t, "x") for i, (p, t) in enumerate(files)], "doc_id long, path string, text string, license string")
     got = licenses.scan(df, F.col("path"))
     plan = got._jdf.queryExecution().toString()
@@ -214,6 +226,16 @@ def test_license_scan_matches_brute_force(spark):
     assert {r.path: (r.license, r.own_license, r.inherited_license, r.inherited_from) for r in got.collect()} == expected
 
 
+def test_wrapped_headers_and_many_notices_in_one_text(spark):
+    many = "\n".join(["Released under the MIT License."] * 3000)
+    files = [("g/a.py", WRAPPED), ("g/cut.py", "# This work is licensed under the GNU\n# General Public License, version 3."), ("m/many.txt", many),
+             ("m/many.txt", "x\ny"), ("q/COPYING", "\n".join(licenses.TEMPLATES[MIT_LONG][1].split(" ")))]
+    df = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(files)], "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in licenses.scan(df, F.col("path")).collect()}
+    assert [got[i].own_license for i in range(5)] == ["GPL-3.0", "GPL-3.0", "MIT", "MIT", "MIT"]
+    assert all(got[i].score > 1 - 1e-6 for i in range(5)) and got[2].inherited_license == "MIT"
+
+
 def test_license_scan_of_awkward_rows(spark):
     docs = documents(spark, awkward_rows(), clash=True)
     got = licenses.scan(docs, F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")))
