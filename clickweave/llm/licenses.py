@@ -111,12 +111,15 @@ def _file_name() -> Column:
     return F.element_at(F.split("path", "/"), -1)
 
 
-def deciding_terms(vectors: list[dict[str, float]], threshold: float) -> set[str]:
-    """For unit vectors: the rarest (heaviest) terms until the rest is shorter than the threshold."""
+def deciding_terms(vectors: list[dict[str, float]], threshold: float, rarity: dict[str, float] | None = None) -> set[str]:
+    """For unit vectors: the rarest terms until the rest is shorter than the threshold.
+
+    Without ``rarity`` the heaviest are taken for the rarest; a common word that a template repeats is heavy as well.
+    """
     out: set[str] = set()
     for v in vectors:
         rest = 1.0
-        for term, w in sorted(v.items(), key=lambda x: (-x[1], x[0])):
+        for term, w in sorted(v.items(), key=lambda x: (-(rarity[x[0]] if rarity else x[1]), x[0])):
             if rest < threshold ** 2 - 1e-12:
                 break
             out.add(term)
@@ -144,7 +147,7 @@ def scan(files: DataFrame, path: Column, text_col: str = "text", id_col: str = "
     raw = [{t: c * idf[t] for t, c in count.items()} for count in counted]
     unit = [{t: w / math.sqrt(sum(x * x for x in v.values())) for t, w in v.items()} for v in raw]
 
-    deciding = F.array(*[F.lit(t) for t in sorted(deciding_terms(unit, threshold))])
+    deciding = F.array(*[F.lit(t) for t in sorted(deciding_terms(unit, threshold, idf))])
     marked = F.filter(F.transform(lines, lambda x, i: F.when(F.arrays_overlap(_terms(x), deciding), i)), lambda i: i.isNotNull())
     holding = rows.select("path", lines.alias("lines"), marked.alias("marked")).filter(F.size("marked") > 0)
     numbered = holding.select("path", F.monotonically_increasing_id().alias("row_id"), F.size("lines").alias("n_lines"), _headers(deciding).alias("headers"))

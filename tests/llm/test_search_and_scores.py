@@ -181,7 +181,7 @@ def license_expected(files, templates, threshold):
     size = lambda v: math.sqrt(sum(x * x for x in v.values()))
     own, speaks = {}, {}
     unit = [{x: w / size(v) for x, w in v.items()} for v in (vec(t) for _, t in templates)]
-    deciding = licenses.deciding_terms(unit, threshold)
+    deciding = licenses.deciding_terms(unit, threshold, {x: idf(x) for v in unit for x in v})
     for p, ls in lines.items():
         best, covered = [], set()
         named = re.search(licenses.LICENSE_FILE, p.split("/")[-1])
