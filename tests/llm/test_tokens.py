@@ -67,6 +67,29 @@ def test_byte_bpe_digests(spark, library):
     assert byte_bpe.digests(documents(spark, []), RANKS, queries.split_pattern()).count() == 0
 
 
+def test_unseen_pieces_are_encoded_side_by_side(bpe, library, monkeypatch):
+    """op7_byte_bpe: pieces that are no token do not fill a table each; ids, order and repeats stay, also across groups and in a full store."""
+    r = random.Random(7)
+    words = ["".join(r.choice("theaniongé漢🙂") for _ in range(r.randint(1, 30))) for _ in range(300)]
+    pieces = [w.encode() for w in words] + [bytes(r.randrange(256) for _ in range(r.randint(0, 70))) for _ in range(300)]
+    expected = [np.array(bpe.encode(p), "<u4").tobytes() for p in pieces]
+    left, right = (np.array([r.choice(list(bpe.usable.values())) for _ in range(3000)]) for _ in range(2))
+    assert bpe.fit_many(left, right).tolist() == [bpe.fits(int(a), int(b)) for a, b in zip(left, right)]
+    alone, whole = [], byte_bpe.ByteBPE.table
+    monkeypatch.setattr(byte_bpe.ByteBPE, "table", lambda self, data: alone.append(data) or whole(self, data))
+    monkeypatch.setattr(byte_bpe, "SIDE_BY_SIDE", 100)
+    assert bpe.encode_many(pieces) == expected
+    assert all(len(p) > byte_bpe.LONGEST_PIECE or not p for p in alone)
+    monkeypatch.setattr(byte_bpe, "GROUP_CHARS", 500)
+    monkeypatch.setattr(byte_bpe, "STORED_PIECES", 50)
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(0, 60))) for _ in range(100)] + [None, ""]
+    encode, _ = byte_bpe.text_encoder(RANKS, queries.split_pattern())
+    for _ in range(2):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [library.encode_ordinary(t or "") for t in texts]
+    with pytest.raises(KeyError):
+        bpe.decode([len(bpe.bytes_of) + 1000])
+
+
 def test_word_encoder_equals_the_library():
     tok = tokenizers.Tokenizer.from_file(WORDS)
     encode = token_shards.batch_encoder(WORDS, "<u4")
